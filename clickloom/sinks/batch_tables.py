@@ -1,0 +1,135 @@
+"""Result tables that streams update batch by batch.
+
+Every batch writes one folder named by its number, so a replayed batch changes nothing, and no
+file that a reader may be using is ever replaced. Reading merges the batches by the table's rule.
+Every so many batches the merged table is written as a snapshot, so a read touches the newest
+snapshot and the few batches after it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BATCH = "batch_id"
+Merge = Callable[[DataFrame], DataFrame]
+
+
+def latest_per_key(keys: Sequence[str]) -> Merge:
+    """Upsert: the newest row of every key wins."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        values = [c for c in rows.columns if c not in (*keys, BATCH)]
+        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH).alias("_row"))
+        return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+
+    return merge
+
+
+def sum_per_key(keys: Sequence[str], value: str) -> Merge:
+    """Upsert that adds: a key's value is the sum over all batches."""
+    return lambda rows: rows.groupBy(*keys).agg(F.sum(value).alias(value))
+
+
+def newest_group(group: Sequence[str]) -> Merge:
+    """Delete and insert: a group holds only the rows of its newest batch."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        newest = F.max(BATCH).over(Window.partitionBy(*group))
+        return rows.withColumn("_newest", newest).where(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH)
+
+    return merge
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    return rows.drop(BATCH).distinct()
+
+
+@dataclass(frozen=True)
+class BatchTable:
+    path: str
+    schema: str
+    merge: Merge
+    snapshot_every: int = 50
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """Store one batch. A complete batch keeps its files, but `rows` still runs: a stream's
+        state only advances when its micro-batch is computed."""
+        spark = rows.sparkSession
+        if batch_id in self._complete(spark, "delta", None):
+            rows.write.format("noop").mode("overwrite").save()
+        else:
+            self._store(rows, "delta", batch_id)
+        due = batch_id > 0 and batch_id % self.snapshot_every == 0
+        if due and batch_id not in self._complete(spark, "snapshot", None):
+            self._store(self.read(spark, batch_id), "snapshot", batch_id)
+
+    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows of one stored batch."""
+        return spark.read.schema(self.schema).parquet(self._folder("delta", batch_id))
+
+    def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        """The merged table after batch `upto` (default: after the newest complete batch)."""
+        snapshots = self._complete(spark, "snapshot", upto)
+        base = max(snapshots, default=-1)
+        chosen = [self._folder("snapshot", base)] if base >= 0 else []
+        chosen += [self._folder("delta", b) for b in self._complete(spark, "delta", upto) if b > base]
+        columns = self._fields()
+        if not chosen:
+            return spark.createDataFrame([], columns)
+        stored = T.StructType([*columns.fields, T.StructField(BATCH, T.LongType())])
+        rows = spark.read.schema(stored).option("basePath", self.path).parquet(*chosen)
+        return self.merge(rows.select(*columns.names, BATCH)).select(*columns.names)
+
+    def _fields(self) -> T.StructType:
+        return T._parse_datatype_string(self.schema)
+
+    def _store(self, rows: DataFrame, kind: str, batch_id: int) -> None:
+        rows.select(*self._fields().names).write.mode("overwrite").parquet(self._folder(kind, batch_id))
+
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.path}/kind={kind}/{BATCH}={batch_id}"
+
+    def _complete(self, spark: SparkSession, kind: str, upto: int | None) -> list[int]:
+        """Numbers of the batches whose write was committed."""
+        found = glob(spark, f"{self.path}/kind={kind}/{BATCH}=*/_SUCCESS")
+        numbers = sorted(int(name.rsplit("/", 2)[1].split("=")[1]) for name in found)
+        return [n for n in numbers if upto is None or n <= upto]
+
+
+def publish_batch(rows: DataFrame, path: str, batch_id: int) -> str:
+    """Make one batch of rows visible as `<path>/batch_id=<n>` in a single rename.
+
+    A stream may be reading `path`, so it must never see part of a batch, nor the batch twice:
+    an existing folder is kept.
+    """
+    spark = rows.sparkSession
+    final = f"{path}/{BATCH}={batch_id}"
+    if not glob(spark, final):
+        staged = f"{path}_staged/{BATCH}={batch_id}"
+        rows.write.mode("overwrite").parquet(staged)
+        make_folder(spark, path)
+        fs, source = _file_system(spark, staged)
+        _, target = _file_system(spark, final)
+        if not fs.rename(source, target):
+            raise OSError(f"cannot publish {final}")
+    return final
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.mkdirs(folder)
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    fs, path = _file_system(spark, pattern)
+    return [str(status.getPath()) for status in fs.globStatus(path) or []]
+
+
+def _file_system(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
