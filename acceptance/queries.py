@@ -16,7 +16,7 @@ from clickloom.plans.area_products import area_top_products
 from clickloom.plans.page_conversion import page_conversion, page_conversion_row
 from clickloom.plans.session_analysis import SessionAnalysis, analyze_sessions
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
-from clickloom.session import new_folder
+from clickloom.session import new_folder, shared_table
 from clickloom.sinks.append import append_rows, with_task
 from clickloom.sinks.batch_tables import BatchTable, distinct_rows
 from clickloom.sources import tables, testdata
@@ -70,9 +70,8 @@ def session_columns(df: DataFrame, *more: str) -> DataFrame:
 
 
 def known_sessions(spark: SparkSession, sf: str, params: JobParams = JobParams()) -> DataFrame:
-    facts = sessions.session_facts(testdata.actions(spark, sf), params.keywords)
-    rolled = sessions.sessions_from_facts(facts, params.category_ids)
-    return sessions.filter_sessions(rolled, testdata.users(spark, sf), params)
+    measured = sessions.session_measures(testdata.actions(spark, sf), params.keywords, params.category_ids)
+    return sessions.filter_sessions(measured, testdata.users(spark, sf), params)
 
 
 def top_categories(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,7 +281,7 @@ def prj2_product_status(spark, sf):
 
 @query
 def prj3_buckets(spark, sf):
-    rolled = sessions.sessions_from_facts(sessions.session_facts(testdata.actions(spark, sf)))
+    rolled = sessions.session_measures(testdata.actions(spark, sf))
     return rolled.select(
         "session_id",
         "visit_length",
@@ -302,7 +301,7 @@ def prj4_parse_ad_log(spark, sf):
 
 @query
 def jon1_session_user(spark, sf):
-    rolled = sessions.sessions_from_facts(sessions.session_facts(testdata.actions(spark, sf)))
+    rolled = sessions.session_measures(testdata.actions(spark, sf))
     joined = sessions.with_user(rolled, testdata.users(spark, sf))
     return session_columns(joined, "age", "professional", "city", "sex")
 
@@ -349,7 +348,7 @@ def jon8_area_product(spark, sf):
 @query
 def jon9_blacklist_anti(spark, sf):
     clicks = ad_clicks(spark, sf)
-    return as_text(ads.without_blacklisted(clicks, seed_users(clicks)))
+    return as_text(ads.without_blacklisted(clicks, shared_table(seed_users(clicks), "blacklist")))
 
 
 @query
@@ -480,12 +479,12 @@ def fun1_flow_hops(spark, sf):
 
 @query
 def fun2_conversion_rates(spark, sf):
-    return page_flow.conversion_rates(steps(spark, sf), FLOW)
+    return page_flow.conversion_rates(testdata.actions(spark, sf), FLOW, TIE_BREAK)
 
 
 @query
 def fun3_packed_rates(spark, sf):
-    return page_conversion_row(testdata.actions(spark, sf), FLOW, TIE_BREAK)
+    return page_conversion_row(testdata.actions(spark, sf), JobParams(target_page_flow=FLOW), TIE_BREAK)
 
 
 # --- SQL functions -------------------------------------------------------------------------------
@@ -588,7 +587,7 @@ def job_area_top_products(spark, sf):
         testdata.actions(spark, sf),
         testdata.cities(spark, sf),
         testdata.products(spark, sf),
-        testdata.REGION_LEVELS,
+        levels=testdata.REGION_LEVELS,
     )
 
 
@@ -614,4 +613,4 @@ def job_top_sessions(spark, sf):
 
 @query
 def job_page_conversion(spark, sf):
-    return page_conversion(testdata.actions(spark, sf), FLOW, TIE_BREAK)
+    return page_conversion(testdata.actions(spark, sf), JobParams(target_page_flow=FLOW), TIE_BREAK)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import top_n
+from clickloom.operators.skew import filter_by_keys
 
 # Fixed value: clicks on one ad by one user in one day that put the user on the blacklist.
 BLACKLIST_THRESHOLD = 100
@@ -45,7 +46,8 @@ def malformed_ad_log(lines: DataFrame) -> DataFrame:
 
 
 def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti").select(*clicks.columns)
+    """Clicks of users who are not on the blacklist (a stored table)."""
+    return filter_by_keys(clicks, blacklist, "user_id", "left_anti")
 
 
 def user_ad_counts(clicks: DataFrame) -> DataFrame:

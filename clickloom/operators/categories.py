@@ -12,26 +12,28 @@ CLICK = "clicks"
 POPULARITY = ("click_count", "order_count", "pay_count")
 
 
-def category_entries(actions: DataFrame, *keep: str | Column, with_steps: bool = False) -> DataFrame:
+def category_entries(actions: DataFrame, *keep: str | Column, every_action: bool = False) -> DataFrame:
     """Stack clicks, orders and payments: one (kind, category_id) row per category of an action.
 
-    An id list counts once per element. `with_steps` adds one `step` row without category for
-    every action. The actions are read once.
+    An id list counts once per element. With `every_action` each action has exactly one `click`
+    row, without category when nothing was clicked. The actions are read once.
     """
-    stacked = [
-        F.lit("click"), F.col("click_category_id").cast("string"),
-        F.lit("order"), F.col("order_category_ids"),
-        F.lit("pay"), F.col("pay_category_ids"),
-    ]
-    if with_steps:
-        stacked += [F.lit("step"), F.lit(None).cast("string")]
-    kinds = actions.select(*keep, F.stack(F.lit(len(stacked) // 2), *stacked).alias("kind", "_ids"))
-    parts = kinds.where(F.col("_ids").isNotNull() | (F.col("kind") == "step")).select(
+    kinds = actions.select(
+        *keep,
+        F.stack(
+            F.lit(3),
+            F.lit("click"), F.col("click_category_id").cast("string"),
+            F.lit("order"), F.col("order_category_ids"),
+            F.lit("pay"), F.col("pay_category_ids"),
+        ).alias("kind", "_ids"),
+    )
+    always = (F.col("kind") == "click") if every_action else F.lit(False)
+    parts = kinds.where(F.col("_ids").isNotNull() | always).select(
         "*", F.explode_outer(id_list(F.col("_ids"))).alias("_id")
     )
     category = F.col("_id").try_cast("bigint")
     return parts.withColumn("category_id", category).drop("_ids", "_id").where(
-        F.col("category_id").isNotNull() | (F.col("kind") == "step")
+        F.col("category_id").isNotNull() | always
     )
 
 

@@ -10,29 +10,42 @@ from pyspark.sql import functions as F
 from clickloom.functions.numbers import ratio
 
 
-def page_steps(actions: DataFrame, tie_break: Sequence[str] = (), block_seconds: int = 600) -> DataFrame:
-    """Every action with the page visited just before it in its session (NULL for the first).
+# Length of the time blocks a session is cut into.
+BLOCK_SECONDS = 600
+
 
-    Sessions are cut into time blocks, so that a session of any size is ordered by many tasks.
-    Inside a block the predecessor comes from a window. The first row of a block continues from
-    the last row of the session's previous block, found among first and last rows alone.
-    Actions at the same second are ordered by `tie_break`, else by page.
+def _block_steps(actions: DataFrame, tie_break: Sequence[str], block_seconds: int) -> DataFrame:
+    """Actions with their predecessor inside a time block of the session.
+
+    Cutting sessions into blocks lets many tasks order a session of any size. `_follows` and
+    `_leads` tell whether a row has a neighbour in its block. Actions at the same second are
+    ordered by `tie_break`, else by page.
     """
-    order = ["action_time", *(tie_break or ["page_id"])]
+    order = list(dict.fromkeys(["action_time", *(tie_break or ["page_id"])]))
     rows = actions.select(
         "session_id",
         "page_id",
-        *order[:1],
-        *[c for c in order[1:] if c != "page_id"],
+        *[c for c in order if c != "page_id"],
         F.floor(F.unix_timestamp("action_time") / block_seconds).alias("_block"),
     )
     in_block = Window.partitionBy("session_id", "_block").orderBy(*order)
-    rows = rows.select(
+    return rows.select(
         "*",
         F.lag("page_id").over(in_block).alias("prev_page_id"),
         F.lag(F.lit(True), 1, False).over(in_block).alias("_follows"),
         F.lead(F.lit(True), 1, False).over(in_block).alias("_leads"),
     )
+
+
+def page_steps(
+    actions: DataFrame, tie_break: Sequence[str] = (), block_seconds: int = BLOCK_SECONDS
+) -> DataFrame:
+    """Every action with the page visited just before it in its session (NULL for the first).
+
+    The first row of a block continues from the last row of the session's previous block, found
+    among first and last rows alone.
+    """
+    rows = _block_steps(actions, tie_break, block_seconds)
     inner = rows.where(F.col("_follows"))
     # At most two rows per block and session.
     ends = rows.where(~F.col("_follows") | ~F.col("_leads"))
@@ -71,18 +84,51 @@ def start_page_views(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
     return actions.where(F.col("page_id") == flow[0]).agg(F.count("*").alias("start_page_views"))
 
 
-def conversion_rates(steps: DataFrame, flow: Sequence[int]) -> DataFrame:
+def flow_counts(
+    actions: DataFrame,
+    flow: Sequence[int],
+    tie_break: Sequence[str] = (),
+    block_seconds: int = BLOCK_SECONDS,
+) -> DataFrame:
+    """One row: views of the start page (`_c0`) and the count of every hop (`_c1`, ...).
+
+    Counts are taken inside the time blocks, where the rows already lie together, which leaves one
+    row per block. Those are few enough to order per session and add the hops between blocks.
+    """
+    pairs = list(enumerate(zip(flow, flow[1:]), 1))
+
+    def hit(before: Column, after: Column, pair: tuple[int, int]) -> Column:
+        return F.when((before == pair[0]) & (after == pair[1]), 1)
+
+    prev, page = F.col("prev_page_id"), F.col("page_id")
+    blocks = _block_steps(actions, tie_break, block_seconds).groupBy("session_id", "_block").agg(
+        F.max(F.when(~F.col("_follows"), page)).alias("_first"),
+        F.max(F.when(~F.col("_leads"), page)).alias("_last"),
+        F.count(F.when(page == flow[0], 1)).alias("_c0"),
+        *[F.count(hit(prev, page, pair)).alias(f"_c{i}") for i, pair in pairs],
+    )
+    before = F.lag("_last").over(Window.partitionBy("session_id").orderBy("_block"))
+    blocks = blocks.withColumn("_before", before)
+    totals = [F.coalesce(F.sum("_c0"), F.lit(0)).alias("_c0")]
+    for i, pair in pairs:
+        across = F.count(hit(F.col("_before"), F.col("_first"), pair))
+        totals.append((F.coalesce(F.sum(f"_c{i}"), F.lit(0)) + across).alias(f"_c{i}"))
+    return blocks.agg(*totals)
+
+
+def conversion_rates(
+    actions: DataFrame,
+    flow: Sequence[int],
+    tie_break: Sequence[str] = (),
+    block_seconds: int = BLOCK_SECONDS,
+) -> DataFrame:
     """One row per hop in flow order: its count, the count it is measured against, their ratio.
 
     The first hop is measured against the views of the start page, every other one against the
-    hop before it. One aggregation counts everything; the flow's length bounds its columns.
+    hop before it. The flow's length bounds the columns of the one-row count.
     """
     names = hops(flow)
-    pair = F.when(F.col("prev_page_id").isNotNull(), _hop())
-    counts = steps.agg(
-        F.count(F.when(F.col("page_id") == flow[0], 1)).alias("_c0"),
-        *[F.count(F.when(pair == name, 1)).alias(f"_c{i}") for i, name in enumerate(names, 1)],
-    )
+    counts = flow_counts(actions, flow, tie_break, block_seconds)
     lines = [
         F.struct(
             F.lit(i).alias("position"),

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.numbers import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS, inside, ratio
 from clickloom.functions.predicates import any_listed, equal_to, in_range, one_of
 from clickloom.functions.text import seconds_between
 from clickloom.operators.categories import CLICK, category_entries
+from clickloom.operators.skew import filter_by_keys
+from clickloom.session import shared_table
 from clickloom.sources.tasks import JobParams
 
 
@@ -38,10 +40,10 @@ def session_rollup(actions: DataFrame) -> DataFrame:
 def session_facts(actions: DataFrame, keywords: Sequence[str] | None = None) -> DataFrame:
     """Everything the session job needs, per (session, category), from one pass over the actions.
 
-    Each action contributes a row without category, which carries its step, plus one row per
-    category it clicks, orders or pays for. Grouping is combined before the shuffle, so even a
-    session with a large share of all actions arrives as a few rows per task, and raw actions
-    never have to be joined back to their sessions.
+    Each action contributes one row for its step and click, plus one per category it orders or
+    pays for. Grouping is combined before the shuffle, so even a session with a large share of all
+    actions arrives as a few rows per task, and raw actions never have to be joined back to their
+    sessions.
     """
     entries = category_entries(
         actions,
@@ -49,33 +51,62 @@ def session_facts(actions: DataFrame, keywords: Sequence[str] | None = None) ->
         "user_id",
         "action_time",
         any_listed(F.col("search_keyword"), keywords).alias("keyword_hit"),
-        with_steps=True,
+        every_action=True,
     )
+    kind, has_category = F.col("kind"), F.col("category_id").isNotNull()
     return entries.groupBy("session_id", "category_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.max("keyword_hit").alias("keyword_hit"),
-        *[
-            F.count(F.when(F.col("kind") == kind, 1)).alias(name)
-            for kind, name in (("step", "steps"), ("click", "clicks"), ("order", "orders"), ("pay", "pays"))
-        ],
+        F.count(F.when(kind == "click", 1)).alias("steps"),
+        F.count(F.when((kind == "click") & has_category, 1)).alias("clicks"),
+        F.count(F.when(kind == "order", 1)).alias("orders"),
+        F.count(F.when(kind == "pay", 1)).alias("pays"),
+    )
+
+
+def session_measures(
+    actions: DataFrame, keywords: Sequence[str] | None = None, category_ids: Sequence[int] | None = None
+) -> DataFrame:
+    """One row per session with the measures the filter and the statistics need.
+
+    Keyword and category conditions become one flag each, so nothing but fixed-width values is
+    aggregated and shuffled.
+    """
+    return _measures(
+        actions,
+        F.min("action_time"),
+        F.max("action_time"),
+        F.count("*"),
+        F.max(any_listed(F.col("search_keyword"), keywords)),
+        F.max(one_of(F.col("click_category_id"), category_ids)),
     )
 
 
 def sessions_from_facts(facts: DataFrame, category_ids: Sequence[int] | None = None) -> DataFrame:
-    """One row per session with the measures the filter and the statistics need."""
+    """The same rows as `session_measures`, from the session facts."""
     clicked = (F.col(CLICK) > 0) & one_of(F.col("category_id"), category_ids)
-    category_hit = F.lit(True) if category_ids is None else F.max(clicked)
+    return _measures(
+        facts,
+        F.min("start_time"),
+        F.max("end_time"),
+        F.sum("steps"),
+        F.max("keyword_hit"),
+        F.lit(True) if category_ids is None else F.max(clicked),
+    )
+
+
+def _measures(rows: DataFrame, start: Column, end: Column, steps: Column, keyword: Column, category: Column) -> DataFrame:
     return (
-        facts.groupBy("session_id")
+        rows.groupBy("session_id")
         .agg(
             F.min("user_id").alias("user_id"),
-            F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time"),
-            F.sum("steps").alias("step_length"),
-            F.max("keyword_hit").alias("keyword_hit"),
-            category_hit.alias("category_hit"),
+            start.alias("start_time"),
+            end.alias("end_time"),
+            steps.alias("step_length"),
+            keyword.alias("keyword_hit"),
+            category.alias("category_hit"),
         )
         .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
     )
@@ -90,8 +121,8 @@ def with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
 def filter_sessions(sessions: DataFrame, users: DataFrame, params: JobParams) -> DataFrame:
     """Known-user sessions that meet every given parameter.
 
-    Works on `session_rollup` (comma lists) as well as on `sessions_from_facts`, where keyword
-    and category matches were already decided. Profile conditions reach the user scan.
+    Works on `session_rollup` (comma lists) as well as on the measures, where keyword and category
+    matches were already decided. Profile conditions reach the user scan.
     """
     joined = with_user(sessions, users).where(
         in_range(F.col("age"), params.start_age, params.end_age)
@@ -109,7 +140,8 @@ def filter_sessions(sessions: DataFrame, users: DataFrame, params: JobParams) ->
 
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Actions of the given sessions, action columns only."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    ids = shared_table(sessions.select("session_id"), "session-ids")
+    return filter_by_keys(actions, ids, "session_id", "left_semi")
 
 
 def session_stats(sessions: DataFrame) -> DataFrame:

@@ -18,26 +18,38 @@ from clickloom.operators.products import (
     with_city,
     with_product,
 )
+from clickloom.operators.skew import MAX_BROADCAST_ROWS, has_at_most
+from clickloom.sources.tables import scan_actions
+from clickloom.sources.tasks import JobParams
 
 
 def area_top_products(
     actions: DataFrame,
     cities: DataFrame,
     products: DataFrame,
+    params: JobParams = JobParams(),
     levels: Mapping[str, Sequence[str]] = AREA_LEVELS,
     n: int = 3,
 ) -> DataFrame:
     """The n most-clicked known products of every area with their cities and status.
 
     Clicks collapse to (city, product) counts before any join. The ranking then needs counts only;
-    city lists are built just for the winners, from the same (city, product) shuffle.
+    city lists are built just for the winners, from the same (city, product) shuffle. There are no
+    more areas than cities, so a checked number of cities bounds both the broadcast of the cities
+    and that of the winners; with more cities Spark chooses the joins.
     """
-    located = with_city(city_product_counts(product_clicks(actions)), cities)
+    small = has_at_most(cities, MAX_BROADCAST_ROWS // n)
+
+    def ship(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    actions = scan_actions(actions, params.start_date, params.end_date)
+    located = with_city(city_product_counts(product_clicks(actions)), ship(cities))
     by_area = located.groupBy("area", "product_id").agg(F.sum("click_count").alias("click_count"))
     winners = top_products(with_product(by_area, products), n)
     winners = winners.select("area", "product_id", "product_name", "product_status")
     infos = (
-        located.join(winners, ["area", "product_id"])
+        located.join(ship(winners), ["area", "product_id"])
         .groupBy("area", "product_id", "product_name", "product_status")
         .agg(
             F.sum("click_count").alias("click_count"),

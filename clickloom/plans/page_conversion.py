@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 
-from clickloom.operators.page_flow import conversion_rates, packed_rates, page_steps
+from clickloom.operators.page_flow import conversion_rates, packed_rates
+from clickloom.sources.tables import scan_actions
+from clickloom.sources.tasks import JobParams
 
 
-def page_conversion(
-    actions: DataFrame, flow: Sequence[int], tie_break: Sequence[str] = (), block_seconds: int = 600
-) -> DataFrame:
-    """Rate of every hop of the flow, one row each."""
-    return conversion_rates(page_steps(actions, tie_break, block_seconds), flow)
+def page_conversion(actions: DataFrame, params: JobParams, tie_break: tuple[str, ...] = ()) -> DataFrame:
+    """Rate of every hop of the task's page flow over its date range, one row each."""
+    actions = scan_actions(actions, params.start_date, params.end_date)
+    return conversion_rates(actions, params.target_page_flow, tie_break)
 
 
-def page_conversion_row(actions: DataFrame, flow: Sequence[int], tie_break: Sequence[str] = ()) -> DataFrame:
+def page_conversion_row(actions: DataFrame, params: JobParams, tie_break: tuple[str, ...] = ()) -> DataFrame:
     """The same rates packed into one text, as stored in the result table."""
-    return packed_rates(page_conversion(actions, flow, tie_break))
+    return packed_rates(page_conversion(actions, params, tie_break))

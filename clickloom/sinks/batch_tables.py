@@ -1,9 +1,10 @@
 """Result tables that streams update batch by batch.
 
 Every batch writes one folder named by its number, so a replayed batch changes nothing, and no
-file that a reader may be using is ever replaced. Reading merges the batches by the table's rule.
-Every so many batches the merged table is written as a snapshot, so a read touches the newest
-snapshot and the few batches after it.
+file that a reader may be using is replaced. Reading merges the batches by the table's rule. After
+every `fold` batches those are merged into one folder, every `fold` of such folders into one again,
+and so on: a read touches few folders however long the stream runs, and a row is rewritten once
+per level rather than once per batch.
 """
 
 from __future__ import annotations
@@ -24,15 +25,15 @@ def latest_per_key(keys: Sequence[str]) -> Merge:
 
     def merge(rows: DataFrame) -> DataFrame:
         values = [c for c in rows.columns if c not in (*keys, BATCH)]
-        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH).alias("_row"))
-        return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+        newest = [F.max_by(c, BATCH).alias(c) for c in values]
+        return rows.groupBy(*keys).agg(*newest, F.max(BATCH).alias(BATCH))
 
     return merge
 
 
 def sum_per_key(keys: Sequence[str], value: str) -> Merge:
     """Upsert that adds: a key's value is the sum over all batches."""
-    return lambda rows: rows.groupBy(*keys).agg(F.sum(value).alias(value))
+    return lambda rows: rows.groupBy(*keys).agg(F.sum(value).alias(value), F.max(BATCH).alias(BATCH))
 
 
 def newest_group(group: Sequence[str]) -> Merge:
@@ -40,13 +41,13 @@ def newest_group(group: Sequence[str]) -> Merge:
 
     def merge(rows: DataFrame) -> DataFrame:
         newest = F.max(BATCH).over(Window.partitionBy(*group))
-        return rows.withColumn("_newest", newest).where(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH)
+        return rows.withColumn("_newest", newest).where(F.col(BATCH) == F.col("_newest")).drop("_newest")
 
     return merge
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
-    return rows.drop(BATCH).distinct()
+    return rows.groupBy(*[c for c in rows.columns if c != BATCH]).agg(F.max(BATCH).alias(BATCH))
 
 
 @dataclass(frozen=True)
@@ -54,51 +55,82 @@ class BatchTable:
     path: str
     schema: str
     merge: Merge
-    snapshot_every: int = 50
+    fold: int = 50
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         """Store one batch. A complete batch keeps its files, but `rows` still runs: a stream's
         state only advances when its micro-batch is computed."""
         spark = rows.sparkSession
-        if batch_id in self._complete(spark, "delta", None):
+        complete = self._complete(spark)
+        if (1, batch_id) in complete:
             rows.write.format("noop").mode("overwrite").save()
         else:
-            self._store(rows, "delta", batch_id)
-        due = batch_id > 0 and batch_id % self.snapshot_every == 0
-        if due and batch_id not in self._complete(spark, "snapshot", None):
-            self._store(self.read(spark, batch_id), "snapshot", batch_id)
-
-    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The rows of one stored batch."""
-        return spark.read.schema(self.schema).parquet(self._folder("delta", batch_id))
+            self._store(rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")), 1, batch_id)
+        span = self.fold
+        while (batch_id + 1) % span == 0:
+            if (span, batch_id) not in complete:
+                self._store(self._merged(spark, batch_id, batch_id - span, span // self.fold), span, batch_id)
+            span *= self.fold
 
     def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """The merged table after batch `upto` (default: after the newest complete batch)."""
-        snapshots = self._complete(spark, "snapshot", upto)
-        base = max(snapshots, default=-1)
-        chosen = [self._folder("snapshot", base)] if base >= 0 else []
-        chosen += [self._folder("delta", b) for b in self._complete(spark, "delta", upto) if b > base]
-        columns = self._fields()
-        if not chosen:
-            return spark.createDataFrame([], columns)
-        stored = T.StructType([*columns.fields, T.StructField(BATCH, T.LongType())])
-        rows = spark.read.schema(stored).option("basePath", self.path).parquet(*chosen)
-        return self.merge(rows.select(*columns.names, BATCH)).select(*columns.names)
+        return self._merged(spark, upto).select(*self._fields().names)
+
+    def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows of one stored batch."""
+        return spark.read.schema(self.schema).parquet(self._folder(1, batch_id))
+
+    def tidy(self, spark: SparkSession) -> int:
+        """Delete folders that a larger one has covered for a whole fold; returns how many.
+
+        Run it when no reader can still be on a version that old.
+        """
+        complete = self._complete(spark)
+        newest = max((n for _, n in complete), default=-1)
+        stale = [
+            (span, n)
+            for span, n in complete
+            if any(s > span and end - s < n <= end <= newest - self.fold for s, end in complete)
+        ]
+        for span, n in stale:
+            delete_folder(spark, self._folder(span, n))
+        return len(stale)
+
+    def _merged(self, spark: SparkSession, upto: int | None, after: int = -1, max_span: int | None = None) -> DataFrame:
+        """Merge of the batches above `after` up to `upto`, each row with the batch it is from."""
+        stored = T.StructType([*self._fields().fields, T.StructField(BATCH, T.LongType())])
+        folders = [self._folder(*f) for f in self._cover(self._complete(spark), upto, after, max_span)]
+        if not folders:
+            return spark.createDataFrame([], stored)
+        return self.merge(spark.read.schema(stored).parquet(*folders))
+
+    @staticmethod
+    def _cover(
+        complete: set[tuple[int, int]], upto: int | None, after: int, max_span: int | None
+    ) -> list[tuple[int, int]]:
+        """Fewest folders that hold every batch in range once: the widest that ends at each point."""
+        chosen, start = [], None
+        for end, span in sorted(((n, s) for s, n in complete), reverse=True):
+            in_range = end > after and (upto is None or end <= upto)
+            if in_range and (start is None or end <= start) and (max_span is None or span <= max_span):
+                chosen.append((span, end))
+                start = end - span
+        return chosen
 
     def _fields(self) -> T.StructType:
         return T._parse_datatype_string(self.schema)
 
-    def _store(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        rows.select(*self._fields().names).write.mode("overwrite").parquet(self._folder(kind, batch_id))
+    def _store(self, rows: DataFrame, span: int, batch_id: int) -> None:
+        rows.select(*self._fields().names, BATCH).write.mode("overwrite").parquet(self._folder(span, batch_id))
 
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.path}/kind={kind}/{BATCH}={batch_id}"
+    def _folder(self, span: int, batch_id: int) -> str:
+        return f"{self.path}/span-{span}/batch-{batch_id}"
 
-    def _complete(self, spark: SparkSession, kind: str, upto: int | None) -> list[int]:
-        """Numbers of the batches whose write was committed."""
-        found = glob(spark, f"{self.path}/kind={kind}/{BATCH}=*/_SUCCESS")
-        numbers = sorted(int(name.rsplit("/", 2)[1].split("=")[1]) for name in found)
-        return [n for n in numbers if upto is None or n <= upto]
+    def _complete(self, spark: SparkSession) -> set[tuple[int, int]]:
+        """(span, last batch) of every folder whose write was committed."""
+        found = glob(spark, f"{self.path}/span-*/batch-*/_SUCCESS")
+        parts = [name.rsplit("/", 3)[1:3] for name in found]
+        return {(int(span.split("-")[1]), int(batch.split("-")[1])) for span, batch in parts}
 
 
 def publish_batch(rows: DataFrame, path: str, batch_id: int) -> str:
@@ -125,6 +157,11 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(folder)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     fs, path = _file_system(spark, pattern)
     return [str(status.getPath()) for status in fs.globStatus(path) or []]

@@ -47,10 +47,10 @@ class AdClickJob:
     top: int = 3
     lateness: str | None = None
     trigger: dict = field(default_factory=lambda: {"processingTime": BATCH_INTERVAL})
-    snapshot_every: int = 50
+    fold: int = 50
 
     def _table(self, name: str, schema: str, merge) -> BatchTable:
-        return BatchTable(f"{self.root}/{name}", schema, merge, self.snapshot_every)
+        return BatchTable(f"{self.root}/{name}", schema, merge, self.fold)
 
     @property
     def clean_log(self) -> str:
@@ -96,9 +96,10 @@ class AdClickJob:
 
         self.user_clicks.write(ads.user_ad_counts(clean), batch_id)
         touched = self.user_clicks.batch(spark, batch_id).drop("click_count")
-        span = touched.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+        # Two literal dates let the read skip files of other days.
+        days = touched.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
         counts = self.user_clicks.read(spark, batch_id)
-        counts = counts.where(F.col("date").between(span.select("first").scalar(), span.select("last").scalar()))
+        counts = counts.where(F.col("date").between(F.lit(days.first), F.lit(days.last)))
         counts = counts.join(touched, ["date", "user_id", "ad_id"], "left_semi")
         barred = ads.users_to_blacklist(counts, self.threshold).join(known, "user_id", "left_anti")
         # Stream batch n is blacklist batch n + 1; batch 0 is the seed.
