@@ -1,4 +1,8 @@
-"""Optional predicates: a missing parameter passes every row, a missing field fails."""
+"""Optional predicates: a missing parameter passes every row.
+
+A missing field gives NULL, which no filter passes. The comparisons stay bare so that Spark can
+hand them to the file scan.
+"""
 
 from __future__ import annotations
 
@@ -8,22 +12,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _known(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
-
-
 def in_range(field: Column, low, high) -> Column:
     """Inclusive range; passes everything unless both bounds are given."""
     if low is None or high is None:
         return F.lit(True)
-    return _known(field.between(low, high))
+    return field.between(low, high)
 
 
 def one_of(field: Column, wanted: Sequence | None) -> Column:
     """A single-valued field equals any wanted value."""
     if wanted is None:
         return F.lit(True)
-    return _known(field.isin(list(wanted)))
+    return field.isin(list(wanted))
 
 
 def any_listed(field: Column, wanted: Sequence | None) -> Column:
@@ -32,10 +32,10 @@ def any_listed(field: Column, wanted: Sequence | None) -> Column:
         return F.lit(True)
     if not wanted:
         return F.lit(False)
-    return _known(F.arrays_overlap(F.split(field, ","), F.array(*[F.lit(str(v)) for v in wanted])))
+    return F.arrays_overlap(F.split(field, ","), F.array(*[F.lit(str(v)) for v in wanted]))
 
 
 def equal_to(field: Column, wanted) -> Column:
     if wanted is None:
         return F.lit(True)
-    return _known(field == F.lit(wanted))
+    return field == F.lit(wanted)

@@ -105,8 +105,8 @@ def _measures(rows: DataFrame, start: Column, end: Column, steps: Column, keywor
             start.alias("start_time"),
             end.alias("end_time"),
             steps.alias("step_length"),
-            keyword.alias("keyword_hit"),
-            category.alias("category_hit"),
+            F.coalesce(keyword, F.lit(False)).alias("keyword_hit"),
+            F.coalesce(category, F.lit(False)).alias("category_hit"),
         )
         .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
     )

@@ -1,0 +1,98 @@
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.session import new_folder
+from clickloom.sinks.append import append_rows, with_task
+from clickloom.sinks.batch_tables import (
+    BatchTable,
+    distinct_rows,
+    glob,
+    latest_per_key,
+    newest_group,
+    publish_batch,
+    sum_per_key,
+)
+
+SCHEMA = "g string, k bigint, v bigint"
+
+
+def table(spark, merge, fold=50, schema=SCHEMA):
+    return BatchTable(new_folder(spark, "table"), schema, merge, fold)
+
+
+def rows(spark, *data, schema=SCHEMA):
+    return spark.createDataFrame(list(data), schema)
+
+
+def content(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_append_keeps_earlier_rows(spark, tmp_path):
+    path = str(tmp_path / "out")
+    append_rows(with_task(rows(spark, ("a", 1, 1)), 4), path)
+    append_rows(with_task(rows(spark, ("b", 1, 1)), 5), path)
+    assert content(spark.read.parquet(path)) == [(4, "a", 1, 1), (5, "b", 1, 1)]
+
+
+def test_latest_row_wins(spark):
+    t = table(spark, latest_per_key(["g", "k"]))
+    assert t.read(spark).count() == 0
+    t.write(rows(spark, ("a", 1, 10), ("a", 2, 20)), 0)
+    t.write(rows(spark, ("a", 2, 21), ("b", 2, 5)), 1)
+    assert content(t.read(spark)) == [("a", 1, 10), ("a", 2, 21), ("b", 2, 5)]
+    assert content(t.read(spark, 0)) == [("a", 1, 10), ("a", 2, 20)]
+    assert content(t.batch(spark, 1)) == [("a", 2, 21), ("b", 2, 5)]
+
+
+def test_replayed_batch_adds_nothing(spark):
+    t = table(spark, sum_per_key(["g", "k"], "v"))
+    for batch in (0, 1, 1):
+        t.write(rows(spark, ("a", 1, 10)), batch)
+    assert content(t.read(spark)) == [("a", 1, 20)]
+
+
+def test_partly_written_batch_is_ignored_and_redone(spark):
+    t = table(spark, sum_per_key(["g", "k"], "v"))
+    t.write(rows(spark, ("a", 1, 10)), 0)
+    rows(spark, ("a", 1, 99)).withColumn("batch_id", F.lit(1).cast("bigint")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{t.path}/span-1/batch-1")
+    assert content(t.read(spark)) == [("a", 1, 10)]
+    t.write(rows(spark, ("a", 1, 1)), 1)
+    assert content(t.read(spark)) == [("a", 1, 11)]
+
+
+def test_newest_rows_of_a_group_replace_the_others(spark):
+    t = table(spark, newest_group(["g"]))
+    t.write(rows(spark, ("a", 1, 1), ("a", 2, 1), ("b", 1, 1)), 0)
+    t.write(rows(spark, ("a", 3, 2)), 1)
+    assert content(t.read(spark)) == [("a", 3, 2), ("b", 1, 1)]
+
+
+@pytest.mark.parametrize("name", ["latest", "sum", "group", "distinct"])
+def test_folding_changes_nothing(spark, name):
+    merge = {
+        "latest": latest_per_key(["g", "k"]),
+        "sum": sum_per_key(["g", "k"], "v"),
+        "group": newest_group(["g"]),
+        "distinct": distinct_rows,
+    }[name]
+    folded, flat = table(spark, merge, 2), table(spark, merge, 1000)
+    for batch in range(7):
+        data = rows(spark, ("a" if batch % 3 else "b", batch % 2, batch), ("c", batch // 4, 1))
+        for t in (folded, flat):
+            t.write(data, batch)
+        assert content(folded.read(spark)) == content(flat.read(spark))
+    spans = {f.rsplit("/", 2)[1] for f in glob(spark, f"{folded.path}/span-*/batch-*")}
+    assert spans == {"span-1", "span-2", "span-4"}
+    assert len(folded._cover(folded._complete(spark), None, -1, None)) == 3  # 0-3, 4-5, 6
+    assert content(folded.read(spark, 4)) == content(flat.read(spark, 4))
+    assert folded.tidy(spark) > 0
+    assert content(folded.read(spark)) == content(flat.read(spark))
+
+
+def test_published_batch_appears_once(spark):
+    path = new_folder(spark, "log")
+    first = publish_batch(rows(spark, ("a", 1, 1)), path, 3)
+    assert publish_batch(rows(spark, ("other", 1, 1)), path, 3) == first
+    assert content(spark.read.parquet(path)) == [("a", 1, 1, 3)]
