@@ -14,7 +14,7 @@ from clickloom.functions.sql import register_functions
 from clickloom.operators import ads, categories, page_flow, products, sampling, sessions, skew
 from clickloom.plans.area_products import area_top_products
 from clickloom.plans.page_conversion import page_conversion, page_conversion_row
-from clickloom.plans.session_analysis import SessionAnalysis, analyze_sessions
+from clickloom.plans.session_analysis import SessionAnalysis
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import new_folder, shared_table
 from clickloom.sinks.append import append_rows, with_task
@@ -120,7 +120,7 @@ def from_mid_month(clicks: DataFrame) -> DataFrame:
 
 
 def analysis(spark: SparkSession, sf: str, params: JobParams = JobParams(), sample_size: int = 100) -> SessionAnalysis:
-    return analyze_sessions(testdata.actions(spark, sf), testdata.users(spark, sf), params, sample_size)
+    return SessionAnalysis(testdata.actions(spark, sf), testdata.users(spark, sf), params, sample_size)
 
 
 def ad_job(spark: SparkSession) -> AdClickJob:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,64 +32,84 @@ from clickloom.sources.tasks import JobParams
 
 @dataclass(frozen=True)
 class SessionAnalysis:
-    """Results of the job, each a lazy frame over the shared tables."""
-
-    stats: DataFrame
-    sample: DataFrame
-    sample_detail: DataFrame
-    top_categories: DataFrame
-    top_sessions: DataFrame
-    top_session_detail: DataFrame
-
-
-def analyze_sessions(
-    actions: DataFrame,
-    users: DataFrame,
-    params: JobParams,
-    sample_size: int = 100,
-    seed: str = "0",
-    top: int = 10,
-) -> SessionAnalysis:
     """Statistics, sample, top categories and top sessions of the sessions that meet `params`.
 
-    The (session, category) facts and the passing sessions are written once to the shared folder.
-    Raw actions are read again only for the detail of the sampled and the top sessions, whose
-    bounded id lists are broadcast, so no raw action is ever shuffled by session.
+    Frames that several results read are written to the shared folder when first asked for, and
+    only once: the (session, category) facts, the passing sessions, and the small reports. Raw
+    actions are read again only for the detail of the sampled and the top sessions, whose bounded
+    id lists are broadcast, so no raw action is ever shuffled by session.
     """
-    actions = scan_actions(actions, params.start_date, params.end_date)
-    facts = shared_table(session_facts(actions, params.keywords), "session-facts")
-    sessions = filter_sessions(sessions_from_facts(facts, params.category_ids), users, params)
-    sessions = shared_table(sessions, "sessions")
-    passing = facts.where(F.col("category_id").isNotNull()).join(
-        sessions.select("session_id"), "session_id", "left_semi"
-    )
-    passing = shared_table(passing, "passing-facts")
-
-    categories = shared_table(top_categories(category_counts_from_facts(passing), top), "top-categories")
-    clicks = passing.where(F.col(CLICK) > 0).select(
-        "category_id", "session_id", F.col(CLICK).alias("click_count")
-    )
-    best = shared_table(top_sessions(within_categories(clicks, categories), top), "top-sessions")
-    drawn = shared_table(sample_sessions(sessions, sample_size, seed).select("session_id"), "sample")
-
-    drawn_actions = actions.join(F.broadcast(drawn), "session_id", "left_semi")
-    detail = top_session_detail(actions, best)
-    return SessionAnalysis(
-        stats=session_stats(sessions),
-        sample=sample_report(session_rollup(drawn_actions)),
-        sample_detail=drawn_actions.select(*SESSION_DETAIL_COLUMNS),
-        top_categories=categories,
-        top_sessions=best,
-        top_session_detail=detail.select("category_id", *SESSION_DETAIL_COLUMNS),
-    )
-
-
-def sample_report(rollup: DataFrame) -> DataFrame:
-    """Sampled sessions as stored: an empty keyword or category list is NULL."""
-    empty = F.lit("")
-    return rollup.select(
-        "session_id",
-        "start_time",
-        F.nullif(F.col("search_keywords"), empty).alias("search_keywords"),
-        F.nullif(F.col("click_category_ids"), empty).alias("click_category_ids"),
-    )
+
+    actions: DataFrame
+    users: DataFrame
+    params: JobParams = JobParams()
+    sample_size: int = 100
+    seed: str = "0"
+    top: int = 10
+
+    @cached_property
+    def selected(self) -> DataFrame:
+        """Actions of the date range."""
+        return scan_actions(self.actions, self.params.start_date, self.params.end_date)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return shared_table(session_facts(self.selected, self.params.keywords), "session-facts")
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        measured = sessions_from_facts(self.facts, self.params.category_ids)
+        return shared_table(filter_sessions(measured, self.users, self.params), "sessions")
+
+    @cached_property
+    def passing(self) -> DataFrame:
+        """Category facts of the passing sessions."""
+        facts = self.facts.where(F.col("category_id").isNotNull())
+        return shared_table(facts.join(self.sessions, "session_id", "left_semi"), "passing-facts")
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return session_stats(self.sessions)
+
+    @cached_property
+    def drawn(self) -> DataFrame:
+        """Ids of the sampled sessions, `sample_size` at most."""
+        sampled = sample_sessions(self.sessions, self.sample_size, self.seed)
+        return shared_table(sampled.select("session_id"), "sample")
+
+    @cached_property
+    def _drawn_actions(self) -> DataFrame:
+        return self.selected.join(F.broadcast(self.drawn), "session_id", "left_semi")
+
+    @cached_property
+    def sample(self) -> DataFrame:
+        """The sampled sessions; an empty keyword or category list is NULL."""
+        empty = F.lit("")
+        return session_rollup(self._drawn_actions).select(
+            "session_id",
+            "start_time",
+            F.nullif(F.col("search_keywords"), empty).alias("search_keywords"),
+            F.nullif(F.col("click_category_ids"), empty).alias("click_category_ids"),
+        )
+
+    @cached_property
+    def sample_detail(self) -> DataFrame:
+        return self._drawn_actions.select(*SESSION_DETAIL_COLUMNS)
+
+    @cached_property
+    def top_categories(self) -> DataFrame:
+        return shared_table(top_categories(category_counts_from_facts(self.passing), self.top), "top-categories")
+
+    @cached_property
+    def top_sessions(self) -> DataFrame:
+        clicks = self.passing.where(F.col(CLICK) > 0).select(
+            "category_id", "session_id", F.col(CLICK).alias("click_count")
+        )
+        ranked = top_sessions(within_categories(clicks, self.top_categories), self.top)
+        return shared_table(ranked, "top-sessions")
+
+    @cached_property
+    def top_session_detail(self) -> DataFrame:
+        """Actions of the top sessions, once per category a session is listed under."""
+        detail = top_session_detail(self.selected, self.top_sessions)
+        return detail.select("category_id", *SESSION_DETAIL_COLUMNS)

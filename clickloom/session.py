@@ -52,7 +52,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder (nothing is created yet)."""
-    return f"{shared_dir(spark)}/clickloom/{name}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder, once its results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/clickloom/{spark.sparkContext.applicationId}"
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:

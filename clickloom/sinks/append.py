@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Takes a table name and the rows to append to it.
+Sink = Callable[[str, DataFrame], None]
+
+
+def folder_sink(root: str) -> Sink:
+    """Parquet tables below one folder."""
+    return lambda name, rows: append_rows(rows, f"{root}/{name}")
+
+
+def jdbc_sink(url: str, **options) -> Sink:
+    """Tables of one database."""
+    return lambda name, rows: append_jdbc(rows, url, name, **options)
+
+
 def with_task(result: DataFrame, task_id: int) -> DataFrame:
     return result.select(F.lit(task_id).cast("bigint").alias("task_id"), "*")
 

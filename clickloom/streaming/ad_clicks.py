@@ -95,12 +95,7 @@ class AdClickJob:
         clean = spark.read.schema(schemas.AD_CLICK).parquet(published)
 
         self.user_clicks.write(ads.user_ad_counts(clean), batch_id)
-        touched = self.user_clicks.batch(spark, batch_id).drop("click_count")
-        # Two literal dates let the read skip files of other days.
-        days = touched.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-        counts = self.user_clicks.read(spark, batch_id)
-        counts = counts.where(F.col("date").between(F.lit(days.first), F.lit(days.last)))
-        counts = counts.join(touched, ["date", "user_id", "ad_id"], "left_semi")
+        counts = self._touched(self.user_clicks, spark, batch_id, ["date", "user_id", "ad_id"])
         barred = ads.users_to_blacklist(counts, self.threshold).join(known, "user_id", "left_anti")
         # Stream batch n is blacklist batch n + 1; batch 0 is the seed.
         self.blacklist.write(barred, batch_id + 1)
@@ -109,11 +104,20 @@ class AdClickJob:
         """One micro-batch of the second query: changed totals, then the provinces they touch."""
         spark = totals.sparkSession
         self.stat.write(totals, batch_id)
-        stat = self.stat.read(spark, batch_id)
-        touched = self.stat.batch(spark, batch_id).select("date", "province")
-        affected = stat.join(touched, ["date", "province"], "left_semi")
+        affected = self._touched(self.stat, spark, batch_id, ["date", "province"])
         self.province_top.write(ads.province_top_ads(affected, self.top), batch_id)
 
+    @staticmethod
+    def _touched(table: BatchTable, spark: SparkSession, batch_id: int, keys: list[str]) -> DataFrame:
+        """Rows of the merged table whose keys occur in the batch.
+
+        The first and last date of the batch are literals, so files of other days are skipped.
+        """
+        batch = table.batch(spark, batch_id).select(*keys)
+        first, last = batch.agg(F.min("date"), F.max("date")).first()
+        days = F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+        return table.read(spark, batch_id).where(days).join(batch, keys, "left_semi")
+
     def trend_batch(self, minutes: DataFrame, batch_id: int) -> None:
         self.trend.write(ads.click_trend(minutes), batch_id)
 

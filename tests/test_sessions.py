@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from clickloom.operators import categories, sampling, sessions
-from clickloom.plans.session_analysis import analyze_sessions
+from clickloom.plans.session_analysis import SessionAnalysis
 from clickloom.session import shared_table
 from clickloom.sources.tasks import JobParams
 
@@ -149,7 +149,7 @@ def test_sample_limits_hours_before_the_shuffle(spark):
 
 def test_whole_job(make_actions, make_users):
     actions, users = make_actions(*RICH), make_users(*USERS)
-    result = analyze_sessions(actions, users, JobParams(start_date="2024-03-01", end_date="2024-03-01"))
+    result = SessionAnalysis(actions, users, JobParams(start_date="2024-03-01", end_date="2024-03-01"))
     assert result.stats.first().session_count == 3
     assert {tuple(r) for r in result.top_categories.collect()} == {(1, 1, 1, 0), (2, 0, 1, 2), (9, 0, 0, 1), (11, 1, 0, 0)}
     assert {tuple(r) for r in result.top_sessions.collect()} == {(1, "a", 1), (11, "a", 1)}
@@ -158,7 +158,7 @@ def test_whole_job(make_actions, make_users):
     assert set(sample) == {"a", "b", "d"} and sample["b"].search_keywords is None
     assert sample["a"].click_category_ids == "1,11"
     assert result.sample_detail.count() == 6
-    nothing = analyze_sessions(actions, users, JobParams(start_date="2025-01-01", end_date="2025-01-02"))
+    nothing = SessionAnalysis(actions, users, JobParams(start_date="2025-01-01", end_date="2025-01-02"))
     assert nothing.stats.first().session_count == 0 and nothing.sample.count() == 0
 
 
