@@ -74,6 +74,10 @@ def known_sessions(spark: SparkSession, sf: str, params: JobParams = JobParams()
     return sessions.filter_sessions(measured, testdata.users(spark, sf), params)
 
 
+def stored_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    return shared_table(known_sessions(spark, sf), "sessions")
+
+
 def top_categories(spark: SparkSession, sf: str) -> DataFrame:
     return categories.top_categories(categories.category_counts(testdata.actions(spark, sf)))
 
@@ -456,12 +460,12 @@ def srt1_top_categories(spark, sf):
 
 @query
 def smp1_session_sample(spark, sf):
-    return session_columns(sampling.sample_sessions(known_sessions(spark, sf), 1000))
+    return session_columns(sampling.sample_sessions(stored_sessions(spark, sf), 1000))
 
 
 @query
 def smp1_session_sample_100(spark, sf):
-    return session_columns(sampling.sample_sessions(known_sessions(spark, sf)))
+    return session_columns(sampling.sample_sessions(stored_sessions(spark, sf)))
 
 
 @query

@@ -8,33 +8,31 @@ from pyspark.sql import functions as F
 from clickloom.functions.text import id_list
 from clickloom.operators.ranking import top_n
 
-CLICK = "clicks"
-POPULARITY = ("click_count", "order_count", "pay_count")
+KINDS = ("click", "order", "pay")
 
 
-def category_entries(actions: DataFrame, *keep: str | Column, every_action: bool = False) -> DataFrame:
+def category_entries(actions: DataFrame, *keep: str) -> DataFrame:
     """Stack clicks, orders and payments: one (kind, category_id) row per category of an action.
 
-    An id list counts once per element. With `every_action` each action has exactly one `click`
-    row, without category when nothing was clicked. The actions are read once.
+    An id list counts once per element. The actions are read once.
     """
     kinds = actions.select(
         *keep,
         F.stack(
             F.lit(3),
-            F.lit("click"), F.col("click_category_id").cast("string"),
-            F.lit("order"), F.col("order_category_ids"),
-            F.lit("pay"), F.col("pay_category_ids"),
-        ).alias("kind", "_ids"),
-    )
-    always = (F.col("kind") == "click") if every_action else F.lit(False)
-    parts = kinds.where(F.col("_ids").isNotNull() | always).select(
-        "*", F.explode_outer(id_list(F.col("_ids"))).alias("_id")
-    )
-    category = F.col("_id").try_cast("bigint")
-    return parts.withColumn("category_id", category).drop("_ids", "_id").where(
-        F.col("category_id").isNotNull() | always
-    )
+            F.lit("click"), F.col("click_category_id"), F.lit(None).cast("string"),
+            F.lit("order"), F.lit(None).cast("bigint"), F.col("order_category_ids"),
+            F.lit("pay"), F.lit(None).cast("bigint"), F.col("pay_category_ids"),
+        ).alias("kind", "_one", "_list"),
+    ).where(F.col("_one").isNotNull() | F.col("_list").isNotNull())
+    parts = kinds.select(*keep, "kind", "_one", F.explode_outer(id_list(F.col("_list"))).alias("_part"))
+    category = F.coalesce(F.col("_one"), F.col("_part").try_cast("bigint"))
+    entries = parts.select(*keep, "kind", category.alias("category_id"))
+    return entries.where(F.col("category_id").isNotNull())
+
+
+def _kind_counts() -> list[Column]:
+    return [F.count(F.when(F.col("kind") == kind, 1)).alias(f"{kind}_count") for kind in KINDS]
 
 
 def category_universe(actions: DataFrame) -> DataFrame:
@@ -49,24 +47,27 @@ def category_kind_counts(actions: DataFrame) -> DataFrame:
 
 def category_counts(actions: DataFrame) -> DataFrame:
     """Click, order and pay count of every category in one aggregation; absent kinds count 0."""
-    return category_entries(actions).groupBy("category_id").agg(
-        *[F.count(F.when(F.col("kind") == kind, 1)).alias(f"{kind}_count") for kind in ("click", "order", "pay")]
-    )
+    return category_entries(actions).groupBy("category_id").agg(*_kind_counts())
+
+
+def session_category_facts(actions: DataFrame) -> DataFrame:
+    """The same counts per session and category.
+
+    They are combined before the shuffle, so a session of any size has at most one row per category
+    and task.
+    """
+    return category_entries(actions, "session_id").groupBy("session_id", "category_id").agg(*_kind_counts())
 
 
 def category_counts_from_facts(facts: DataFrame) -> DataFrame:
-    """The same counts from the session facts of the sessions of interest."""
-    return facts.where(F.col("category_id").isNotNull()).groupBy("category_id").agg(
-        F.sum(CLICK).alias("click_count"),
-        F.sum("orders").alias("order_count"),
-        F.sum("pays").alias("pay_count"),
-    )
+    return facts.groupBy("category_id").agg(*[F.sum(f"{kind}_count").alias(f"{kind}_count") for kind in KINDS])
 
 
 def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """The n categories with most clicks, then orders, then payments; ties go to the smaller id."""
-    order = [F.desc(name) for name in POPULARITY]
-    return counts.select("category_id", *POPULARITY).orderBy(*order, F.asc("category_id")).limit(n)
+    counted = [f"{kind}_count" for kind in KINDS]
+    order = [F.desc(name) for name in counted]
+    return counts.select("category_id", *counted).orderBy(*order, F.asc("category_id")).limit(n)
 
 
 def session_category_clicks(actions: DataFrame) -> DataFrame:

@@ -34,7 +34,8 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "0") -> D
 
     The order inside an hour is that of md5(seed, session id): uniform, and the same on every run.
     No hour can be granted more than `total`, so each is first cut to its first `total` sessions,
-    which Spark does before the shuffle, and only those meet their quota.
+    which Spark does before the shuffle, and only those meet their quota. `sessions` is read more
+    than once and should be a stored table.
     """
     quotas = hourly_quotas(hourly_sessions(sessions), total)
     timed = sessions.withColumn("date", F.to_date("start_time")).withColumn("hour", F.hour("start_time"))

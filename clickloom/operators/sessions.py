@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from clickloom.functions.numbers import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS, inside, ratio
 from clickloom.functions.predicates import any_listed, equal_to, in_range, one_of
 from clickloom.functions.text import seconds_between
-from clickloom.operators.categories import CLICK, category_entries
 from clickloom.operators.skew import filter_by_keys
 from clickloom.session import shared_table
 from clickloom.sources.tasks import JobParams
@@ -37,76 +36,28 @@ def session_rollup(actions: DataFrame) -> DataFrame:
     )
 
 
-def session_facts(actions: DataFrame, keywords: Sequence[str] | None = None) -> DataFrame:
-    """Everything the session job needs, per (session, category), from one pass over the actions.
-
-    Each action contributes one row for its step and click, plus one per category it orders or
-    pays for. Grouping is combined before the shuffle, so even a session with a large share of all
-    actions arrives as a few rows per task, and raw actions never have to be joined back to their
-    sessions.
-    """
-    entries = category_entries(
-        actions,
-        "session_id",
-        "user_id",
-        "action_time",
-        any_listed(F.col("search_keyword"), keywords).alias("keyword_hit"),
-        every_action=True,
-    )
-    kind, has_category = F.col("kind"), F.col("category_id").isNotNull()
-    return entries.groupBy("session_id", "category_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("end_time"),
-        F.max("keyword_hit").alias("keyword_hit"),
-        F.count(F.when(kind == "click", 1)).alias("steps"),
-        F.count(F.when((kind == "click") & has_category, 1)).alias("clicks"),
-        F.count(F.when(kind == "order", 1)).alias("orders"),
-        F.count(F.when(kind == "pay", 1)).alias("pays"),
-    )
-
-
 def session_measures(
     actions: DataFrame, keywords: Sequence[str] | None = None, category_ids: Sequence[int] | None = None
 ) -> DataFrame:
     """One row per session with the measures the filter and the statistics need.
 
     Keyword and category conditions become one flag each, so nothing but fixed-width values is
-    aggregated and shuffled.
+    aggregated and shuffled, and even a session with a large share of all actions is one row per
+    task.
     """
-    return _measures(
-        actions,
-        F.min("action_time"),
-        F.max("action_time"),
-        F.count("*"),
-        F.max(any_listed(F.col("search_keyword"), keywords)),
-        F.max(one_of(F.col("click_category_id"), category_ids)),
-    )
 
+    def any_row(condition: Column) -> Column:
+        return F.coalesce(F.max(condition), F.lit(False))
 
-def sessions_from_facts(facts: DataFrame, category_ids: Sequence[int] | None = None) -> DataFrame:
-    """The same rows as `session_measures`, from the session facts."""
-    clicked = (F.col(CLICK) > 0) & one_of(F.col("category_id"), category_ids)
-    return _measures(
-        facts,
-        F.min("start_time"),
-        F.max("end_time"),
-        F.sum("steps"),
-        F.max("keyword_hit"),
-        F.lit(True) if category_ids is None else F.max(clicked),
-    )
-
-
-def _measures(rows: DataFrame, start: Column, end: Column, steps: Column, keyword: Column, category: Column) -> DataFrame:
     return (
-        rows.groupBy("session_id")
+        actions.groupBy("session_id")
         .agg(
             F.min("user_id").alias("user_id"),
-            start.alias("start_time"),
-            end.alias("end_time"),
-            steps.alias("step_length"),
-            F.coalesce(keyword, F.lit(False)).alias("keyword_hit"),
-            F.coalesce(category, F.lit(False)).alias("category_hit"),
+            F.min("action_time").alias("start_time"),
+            F.max("action_time").alias("end_time"),
+            F.count("*").alias("step_length"),
+            any_row(any_listed(F.col("search_keyword"), keywords)).alias("keyword_hit"),
+            any_row(one_of(F.col("click_category_id"), category_ids)).alias("category_hit"),
         )
         .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
     )

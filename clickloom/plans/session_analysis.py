@@ -1,4 +1,4 @@
-"""The session job: one pass over the actions, then five results from compact tables."""
+"""The session job: every result from two compact tables."""
 
 from __future__ import annotations
 
@@ -9,21 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.categories import (
-    CLICK,
     category_counts_from_facts,
+    session_category_facts,
     top_categories,
     top_session_detail,
     top_sessions,
     within_categories,
 )
 from clickloom.operators.sampling import sample_sessions
-from clickloom.operators.sessions import (
-    filter_sessions,
-    session_facts,
-    session_rollup,
-    session_stats,
-    sessions_from_facts,
-)
+from clickloom.operators.sessions import filter_sessions, session_measures, session_rollup, session_stats
+from clickloom.operators.skew import MAX_BROADCAST_ROWS, has_at_most
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import shared_table
 from clickloom.sources.tables import scan_actions
@@ -35,9 +30,9 @@ class SessionAnalysis:
     """Statistics, sample, top categories and top sessions of the sessions that meet `params`.
 
     Frames that several results read are written to the shared folder when first asked for, and
-    only once: the (session, category) facts, the passing sessions, and the small reports. Raw
-    actions are read again only for the detail of the sampled and the top sessions, whose bounded
-    id lists are broadcast, so no raw action is ever shuffled by session.
+    only once: the passing sessions, their (session, category) facts, and the small reports. Actions
+    are always combined before they are shuffled. Whole actions are read only for the detail of the
+    sampled and the top sessions, whose bounded id lists are broadcast.
     """
 
     actions: DataFrame
@@ -52,20 +47,25 @@ class SessionAnalysis:
         """Actions of the date range."""
         return scan_actions(self.actions, self.params.start_date, self.params.end_date)
 
-    @cached_property
-    def facts(self) -> DataFrame:
-        return shared_table(session_facts(self.selected, self.params.keywords), "session-facts")
-
     @cached_property
     def sessions(self) -> DataFrame:
-        measured = sessions_from_facts(self.facts, self.params.category_ids)
+        """Passing sessions."""
+        measured = session_measures(self.selected, self.params.keywords, self.params.category_ids)
         return shared_table(filter_sessions(measured, self.users, self.params), "sessions")
 
     @cached_property
-    def passing(self) -> DataFrame:
-        """Category facts of the passing sessions."""
-        facts = self.facts.where(F.col("category_id").isNotNull())
-        return shared_table(facts.join(self.sessions, "session_id", "left_semi"), "passing-facts")
+    def facts(self) -> DataFrame:
+        """Category facts of the passing sessions.
+
+        A checked, small set of sessions cuts the actions down before anything is shuffled. A large
+        one meets the combined facts, in which a session has one row per category.
+        """
+        ids = self.sessions.select("session_id")
+        if has_at_most(ids, MAX_BROADCAST_ROWS):
+            facts = session_category_facts(self.selected.join(F.broadcast(ids), "session_id", "left_semi"))
+        else:
+            facts = session_category_facts(self.selected).join(ids, "session_id", "left_semi")
+        return shared_table(facts, "session-facts")
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -98,13 +98,11 @@ class SessionAnalysis:
 
     @cached_property
     def top_categories(self) -> DataFrame:
-        return shared_table(top_categories(category_counts_from_facts(self.passing), self.top), "top-categories")
+        return shared_table(top_categories(category_counts_from_facts(self.facts), self.top), "top-categories")
 
     @cached_property
     def top_sessions(self) -> DataFrame:
-        clicks = self.passing.where(F.col(CLICK) > 0).select(
-            "category_id", "session_id", F.col(CLICK).alias("click_count")
-        )
+        clicks = self.facts.where(F.col("click_count") > 0).select("category_id", "session_id", "click_count")
         ranked = top_sessions(within_categories(clicks, self.top_categories), self.top)
         return shared_table(ranked, "top-sessions")
 

@@ -29,13 +29,8 @@ def test_rollup(make_actions):
     assert rows["d"].search_keywords == ""
 
 
-def test_measures_agree_with_facts_and_rollup(make_actions):
+def test_measures_agree_with_the_rollup(make_actions):
     actions = make_actions(*RICH)
-    for keywords, ids in ((None, None), (["x"], [1]), (["y"], None), (None, [2, 11])):
-        facts = sessions.session_facts(actions, keywords)
-        columns = sorted(sessions.session_measures(actions).columns)
-        direct = sessions.session_measures(actions, keywords, ids).select(columns)
-        assert by_session(direct) == by_session(sessions.sessions_from_facts(facts, ids).select(columns))
     rolled = by_session(sessions.session_rollup(actions))
     for session_id, row in by_session(sessions.session_measures(actions)).items():
         assert (row.visit_length, row.step_length) == (rolled[session_id].visit_length, rolled[session_id].step_length)
@@ -84,7 +79,7 @@ def test_category_counts(make_actions):
     want = {1: (2, 1, 0), 2: (0, 1, 2), 9: (0, 0, 1), 11: (1, 0, 0)}
     got = {r.category_id: tuple(r)[1:] for r in categories.category_counts(actions).collect()}
     assert got == want
-    from_facts = categories.category_counts_from_facts(sessions.session_facts(actions))
+    from_facts = categories.category_counts_from_facts(categories.session_category_facts(actions))
     assert {r.category_id: tuple(r)[1:] for r in from_facts.collect()} == want
     ranked = [r.category_id for r in categories.top_categories(categories.category_counts(actions)).collect()]
     assert ranked == [1, 11, 2, 9]
@@ -162,6 +157,16 @@ def test_whole_job(make_actions, make_users):
     assert nothing.stats.first().session_count == 0 and nothing.sample.count() == 0
 
 
+def test_whole_job_with_too_many_sessions_to_broadcast(make_actions, make_users, monkeypatch):
+    def reports():
+        result = SessionAnalysis(make_actions(*RICH), make_users(*USERS), JobParams(start_age=20, end_age=50))
+        return [sorted(map(repr, f.collect())) for f in (result.top_categories, result.top_sessions, result.top_session_detail)]
+
+    want = reports()
+    monkeypatch.setattr("clickloom.plans.session_analysis.MAX_BROADCAST_ROWS", 1)
+    assert reports() == want
+
+
 def test_detail_by_broadcast_and_by_shuffle(make_actions, make_users, monkeypatch):
     actions, users = make_actions(*RICH), make_users(*USERS)
     kept = sessions.filter_sessions(sessions.session_measures(actions), users, JobParams())
