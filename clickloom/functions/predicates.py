@@ -32,7 +32,10 @@ def any_listed(field: Column, wanted: Sequence | None) -> Column:
         return F.lit(True)
     if not wanted:
         return F.lit(False)
-    return F.arrays_overlap(F.split(field, ","), F.array(*[F.lit(str(v)) for v in wanted]))
+    texts = [str(v) for v in wanted]
+    overlap = F.arrays_overlap(F.split(field, ","), F.array(*[F.lit(t) for t in texts]))
+    # Most fields hold a single value, which needs no splitting.
+    return F.when(F.contains(field, F.lit(",")), overlap).otherwise(field.isin(texts))
 
 
 def equal_to(field: Column, wanted) -> Column:

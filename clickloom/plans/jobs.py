@@ -8,12 +8,11 @@ from clickloom.plans.area_products import area_top_products
 from clickloom.plans.page_conversion import page_conversion_row
 from clickloom.plans.session_analysis import SessionAnalysis
 from clickloom.sinks.append import Sink, with_task
-from clickloom.sources.tables import typed_actions
 from clickloom.sources.tasks import load_job_params
 
 
 def run_session_job(actions: DataFrame, users: DataFrame, tasks: DataFrame, task_id: int, sink: Sink) -> None:
-    result = SessionAnalysis(typed_actions(actions), users, load_job_params(tasks, task_id))
+    result = SessionAnalysis(actions, users, load_job_params(tasks, task_id))
     # Both details go to the same table, and a session may be in both.
     for name, rows in (
         ("session_aggr_stat", result.stats),
@@ -29,7 +28,7 @@ def run_session_job(actions: DataFrame, users: DataFrame, tasks: DataFrame, task
 def run_page_job(
     actions: DataFrame, tasks: DataFrame, task_id: int, sink: Sink, tie_break: tuple[str, ...] = ()
 ) -> None:
-    rates = page_conversion_row(typed_actions(actions), load_job_params(tasks, task_id), tie_break)
+    rates = page_conversion_row(actions, load_job_params(tasks, task_id), tie_break)
     sink("page_split_convert_rate", with_task(rates, task_id))
 
 

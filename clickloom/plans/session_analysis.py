@@ -21,7 +21,7 @@ from clickloom.operators.sessions import filter_sessions, session_measures, sess
 from clickloom.operators.skew import MAX_BROADCAST_ROWS, has_at_most
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import shared_table
-from clickloom.sources.tables import scan_actions
+from clickloom.sources.tables import scan_actions, typed_actions
 from clickloom.sources.tasks import JobParams
 
 
@@ -44,8 +44,8 @@ class SessionAnalysis:
 
     @cached_property
     def selected(self) -> DataFrame:
-        """Actions of the date range."""
-        return scan_actions(self.actions, self.params.start_date, self.params.end_date)
+        """Typed actions of the date range, which is applied to the stored date."""
+        return typed_actions(scan_actions(self.actions, self.params.start_date, self.params.end_date))
 
     @cached_property
     def sessions(self) -> DataFrame:

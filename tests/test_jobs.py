@@ -58,6 +58,24 @@ def test_jobs_append_their_result_tables(spark, tmp_path, actions, tasks, make_u
     assert len(rows("page_split_convert_rate")) == 2
 
 
+def test_textual_dates_still_reach_the_file_scan(spark, actions, make_users):
+    from clickloom.plans.session_analysis import SessionAnalysis
+    from clickloom.sources.tasks import JobParams
+
+    stored = shared_table(actions, "actions")
+    result = SessionAnalysis(stored, make_users(), JobParams(start_date="2024-03-01", end_date="2024-03-01"))
+    plan = result.selected.select("page_id")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2024-03-01)" in plan and "ReadSchema: struct<date:string,page_id:bigint>" in plan
+
+
+def test_page_job_needs_a_flow(spark, actions):
+    from clickloom.plans.page_conversion import page_conversion
+    from clickloom.sources.tasks import JobParams
+
+    with pytest.raises(ValueError):
+        page_conversion(actions, JobParams(target_page_flow=(1,)))
+
+
 def test_command_line():
     args = arguments(["session", "--task", "3", "--tables", "/in", "--out", "/out"])
     assert (args.job, args.task) == ("session", 3)
