@@ -16,11 +16,18 @@ REGION_LEVELS = {
     "B Level": ["ASIA"],
     "C Level": ["EUROPE"],
 }
-EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+# Given schemas spare a look into the files before every query.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _key() -> Column:
@@ -142,6 +149,6 @@ def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ad_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines as a file stream."""
     events = (
-        spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
     return ad_lines(events, table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
