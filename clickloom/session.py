@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Settings this library relies on. Adaptive execution re-plans joins from measured shuffle sizes
@@ -38,16 +38,10 @@ def build_session(app_name: str = "clickloom", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a temporary folder.
+    Where that is unset, a folder in the warehouse, which all executors share as well.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set(CHECKPOINT_DIR, fallback)
-    return fallback
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR)}/_shared"
+    return configured.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
