@@ -80,8 +80,8 @@ def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.nd
 
     parts = docs.select("text").mapInArrow(run, "place long, n long")
     counts = np.zeros(len(vocabulary.hashes) + 1, np.int64)
-    for place, n in parts.groupBy("place").agg(F.sum("n")).collect():  # one row for each vocabulary word
-        counts[place] = n
+    summed = parts.groupBy("place").agg(F.sum("n").alias("n")).toArrow()  # one row for each vocabulary word
+    counts[summed.column("place").to_numpy()] = summed.column("n").to_numpy()
     return counts[:-1], int(counts[-1])
 
 
@@ -115,9 +115,9 @@ def latent_basis(items: DataFrame, vocabulary: Vocabulary, idf: np.ndarray, para
 
         shares = items.select("text").mapInArrow(run, "place long, share array<double>")
         summed = shares.select("place", F.posexplode("share").alias("i", "value")).groupBy("place", "i")
+        summed = summed.agg(F.sum("value").alias("value")).toArrow()
         basis = np.zeros_like(basis)
-        for place, i, value in summed.agg(F.sum("value")).collect():
-            basis[place, i] = value
+        basis[summed.column("place").to_numpy(), summed.column("i").to_numpy()] = summed.column("value").to_numpy()
     return np.linalg.qr(basis)[0].astype(np.float32)
 
 
