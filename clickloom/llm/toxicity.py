@@ -32,7 +32,8 @@ class ToxicityParams:
     """`fit_rows` bounds the labelled documents the models are fitted on; half of them suggest the
     learned lexicon, the other half fit the label model and the classifier. `lexicon` bounds the
     learned word beginnings, dealt to `voters` voters; `evidence` is the least G statistic of
-    one, `favour` how many times as common it is in toxic documents at least.
+    one, `favour` how many times as common it is in toxic documents at least, and `support` the
+    least share of them that has it, which keeps out the rare words that copies of a document share.
     """
 
     fit_rows: int = 12_000
@@ -40,6 +41,7 @@ class ToxicityParams:
     voters: int = 16
     evidence: float = 20.0
     favour: float = 20.0
+    support: float = 0.02
     threshold: float = 0.3
 
 
@@ -144,7 +146,9 @@ def _learned_lexicon(docs: DataFrame, params: ToxicityParams) -> np.ndarray:
         + term(n_clean - F.col("clean"), n_clean * (1 - rate))
     )
     favoured = counts.withColumn("g", statistic).where(
-        (F.col("g") >= params.evidence) & (F.col("toxic") / n_toxic > params.favour * F.col("clean") / n_clean)
+        (F.col("g") >= params.evidence)
+        & (F.col("toxic") >= params.support * n_toxic)
+        & (F.col("toxic") / n_toxic > params.favour * F.col("clean") / n_clean)
     )
     best = favoured.orderBy(F.desc("g"), "feature").limit(params.lexicon).select("feature").collect()
     return np.array([x["feature"] for x in best], np.int64).view(U64)
@@ -219,7 +223,8 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.fit_rows)
     # At most fit_rows pairs of numbers.
     fit = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    half = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2))
+    fit = fit.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
     fixed = [[_word_hash(x) for x in line.split()] for line in LEXICONS]
     learned = _learned_lexicon(fit.where(half == 0), params)
     every = np.array([x for line in fixed for x in line], U64)
