@@ -118,7 +118,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     repeated ones too; other columns are ignored.
     """
     names = [*profiles, "und"]
-    matrix = np.array(list(profiles.values()), np.float32).reshape(len(profiles), -1)
+    matrix = np.array(list(profiles.values()), np.float32).reshape(len(profiles), DIMENSIONS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,0 +1,292 @@
+"""Operators for training data against brute force, round trips and held-out rows."""
+
+import hashlib
+import itertools
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from clickloom.llm import (
+    decontaminate,
+    language_id,
+    licences,
+    near_dedup,
+    packing,
+    queries,
+    secrets,
+    substring_dedup,
+    toxicity,
+    vp_search,
+    warc,
+)
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, bucket long, a long, b long, block long"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, repeated rows, ties, and columns named like the operators' own."""
+    long_text = " ".join(f"w{i}" for i in range(5000))
+    texts = [(1, None), (2, ""), (3, " \t "), (4, long_text), (5, long_text), (5, long_text), (None, long_text), (6, "one"), (7, "One"), (None, None)]
+    rows = [(i, t, None if t is None else "en", "s", len(t or ""), 1, 1, 1, 1, 1) for i, t in texts]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def pairs(frame):
+    return [(x.doc_id, x.text) for x in frame.select("doc_id", "text").collect()]
+
+
+def brute_components(rows, k, percent=80):
+    lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    sets = {}
+    for doc, text in rows:
+        words = WORD.findall((text or "").translate(lower))
+        grams = {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+        sets[doc] = grams or ({tuple(words)} if words else set())
+    label = {x: x for x in sets}
+    for x, y in itertools.combinations(sorted(sets), 2):
+        shared = len(sets[x] & sets[y])
+        if shared and 100 * shared >= percent * len(sets[x] | sets[y]):
+            low, high = sorted((label[x], label[y]))
+            label = {d: low if c == high else c for d, c in label.items()}
+    return {d: (len(sets[d]), label[d]) for d in sets}
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates(docs, k):
+    got = near_dedup.near_duplicates(docs, near_dedup.NearDedupParams(shingle_words=k)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(pairs(docs), k)
+    assert all(x.kept == (x.doc_id == x.component_id) for x in got)
+
+
+def test_links_that_miss_the_leader_of_a_bucket(spark):
+    words = [f"w{i}" for i in range(60)]
+    chain = [words[i * 4 : 40 + i * 4] for i in range(5)]  # neighbours are similar, ends are not
+    rows = [(i, " ".join(x)) for i, x in enumerate(chain)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.near_duplicates(frame, near_dedup.NearDedupParams(shingle_words=2)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(rows, 2)
+
+
+def test_near_duplicates_odd(odd, empty):
+    got = near_dedup.near_duplicates(odd).collect()
+    assert len(got) == 10 and near_dedup.near_duplicates(empty).count() == 0
+    assert {x.doc_id: x.component_id for x in got if x.doc_id} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6}
+    assert sorted(x.doc_id for x in near_dedup.drop_near_duplicates(odd).collect() if x.doc_id) == [1, 2, 3, 4, 6]
+
+
+def brute_windows(rows, size):
+    seen, out = set(), {}
+    for doc, text in sorted(rows):
+        words = WORD.findall(text or "")
+        gone = [False] * len(words)
+        for i in range(len(words) - size + 1):
+            window = tuple(words[i : i + size])
+            if window in seen:
+                gone[i : i + size] = [True] * size
+            seen.add(window)
+        kept = " ".join(x for x, drop in zip(words, gone, strict=True) if not drop)
+        out[doc] = (len(words), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("params", [substring_dedup.SubstringParams(), substring_dedup.SubstringParams(block_chars=20_000, slice_windows=5_000)])
+def test_substring_dedup(docs, params):
+    got = substring_dedup.remove_repeats(docs, params).collect()
+    assert {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in got} == brute_windows(pairs(docs), 20)
+
+
+def test_substring_dedup_odd(odd, empty):
+    got = [(x.doc_id, x.n_words, x.n_removed) for x in substring_dedup.remove_repeats(odd).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 5000, 0), (5, 5000, 5000), (5, 5000, 5000), (None, 5000, 5000), (6, 1, 0), (7, 1, 0), (None, 0, 0)], key=str
+    )
+    assert substring_dedup.remove_repeats(empty).count() == 0
+
+
+def test_vp_search(spark):
+    vectors = vp_search.usable_vectors(spark.read.parquet(f"{SF}/embeddings.parquet"))
+    rows = vectors.collect()
+    matrix, ids = np.array([x.embedding for x in rows]), np.array([x.vec_id for x in rows])
+    hits = total = 0
+    for factor in (1.0, vp_search.VpParams().factor):
+        params = vp_search.VpParams(factor=factor, shard_rows=200, leaf_rows=16, query_rows=3)
+        found = vp_search.nearest(vectors, vectors.where("vec_id % 100 = 0"), params).collect()
+        for query in np.flatnonzero(ids % 100 == 0):
+            away = np.sqrt(((matrix - matrix[query]) ** 2).sum(axis=1))
+            away[query] = np.inf
+            want = ids[np.lexsort((ids, away))[:10]].tolist()
+            got = [x.vec_id for x in sorted(found, key=lambda x: x["rank"]) if x.query_id == ids[query]]
+            if factor == 1:
+                assert got == want
+            hits, total = hits + len(set(got) & set(want)), total + 10
+    assert hits >= 0.9 * total
+
+
+def test_vp_search_odd(spark):
+    data = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (None, [1.0, 1.0])]
+    data += [(i, [1.0, 1.0]) for i in range(10, 40)] + [(50, [1.0, 2.0, 3.0])]
+    frame = spark.createDataFrame([(*x, 1, 1) for x in data], "vec_id long, embedding array<float>, shard int, size int")
+    vectors = vp_search.usable_vectors(frame)
+    got = vp_search.nearest(vectors, vectors.where("vec_id = 0"), vp_search.VpParams(leaf_rows=4)).orderBy("rank").collect()
+    assert [(x.vec_id, x.score) for x in got] == [(i, 1.0) for i in range(10, 20)]
+    assert vp_search.nearest(vectors.limit(0), vectors.limit(0)).count() == 0
+
+
+def test_warc(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    same, tricky = "x" * 120, "WARC/1.1\r\n\r\nContent-Length: 3"
+    odd = [(9001, "http://A.com/x y", same), (9002, None, same), (9003, "u", tricky), (9004, "u", None), (9004, "u", None), (None, "u", same), (9005, "u", "é" * 49), (9006, "u", "é" * 49)]
+    pages = pages.union(spark.createDataFrame(odd, "page_id long, url string, html string"))
+    got = warc.archive_pages(pages, warc.WarcParams(archive_records=50)).collect()
+    assert len(got) == pages.count()
+    source = {x.page_id: (x.html or "").encode() for x in pages.collect() if x.page_id}
+    for x in got:
+        if x.page_id:
+            assert (x.payload_bytes, x.payload_digest) == (len(source[x.page_id]), hashlib.sha256(source[x.page_id]).hexdigest())
+    assert {(x.page_id, x.refers_to) for x in got if x.record_type == "revisit" and x.page_id and x.page_id > 9000} == {(9002, 9001)}
+    keys = [(x.url_key, x.captured) for x in sorted(got, key=lambda x: x.merged_at)]
+    assert keys == sorted(keys)
+    assert warc.archive_pages(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("runs", [0, 1, 2, 5, 8])
+def test_loser_tree(runs):
+    rng = np.random.default_rng(runs)
+    data = [sorted((f"k{rng.integers(9)}", "t", int(rng.integers(99)), 0, "", "", None, f"r{r}", i) for i in range(rng.integers(0, 30))) for r in range(runs)]
+    data = [sorted(x, key=warc._order) for x in data]
+    assert list(warc.LoserTree(data)) == sorted(itertools.chain(*data), key=warc._order)
+
+
+def test_packing(spark, odd, empty):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    model.encode_special_tokens = True
+    got = packing.pack(docs).collect()
+    by_doc = {}
+    for x in got:
+        by_doc.setdefault(x.doc_id, []).append(x)
+    for doc, text in pairs(docs):
+        ids = np.array([*model.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        pieces = sorted(by_doc[doc], key=lambda x: x.piece)
+        assert [x.piece for x in pieces] == list(range(len(pieces))) and pieces[0].start == 0
+        assert sum(x.length for x in pieces) == len(ids) and all(x.length == 2048 for x in pieces[1:])
+        assert all(x.ids_crc32 == zlib.crc32(ids[x.start : x.start + x.length].tobytes()) for x in pieces)
+    assert_gapless(got)
+    assert len({x.sequence_id for x in got}) <= -(-sum(x.length for x in got) // 2048) * 1.02 + 1
+    assert_gapless(rows := packing.pack(odd).collect())
+    assert sum(x.piece == 0 for x in rows) == 10 and packing.pack(empty).count() == 0
+
+
+def assert_gapless(rows):
+    bins = {}
+    for x in rows:
+        bins.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_packing_in_groups_and_rounds(docs):
+    import dataclasses
+
+    few = dataclasses.replace(packing.default_params(), pieces_at_once=30)
+    rows = packing.pack(docs, few).collect()
+    assert_gapless(rows)
+    assert len(rows) == len({(x.doc_id, x.piece) for x in rows})
+
+
+def test_local_search_empties_a_bin():
+    lengths = [6, 3, 5, 4, 2]
+    bins = packing.local_search([[0, 1], [2, 3], [4]], lengths, 10, 50)
+    assert sorted(itertools.chain(*bins)) == [0, 1, 2, 3, 4] and all(sum(lengths[i] for i in x) <= 10 for x in bins)
+
+
+def test_languages(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.predict_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(x.lang == x.lang_pred for x in got) >= 0.97 * len(got)
+    odd_rows = language_id.predict_languages(odd).collect()
+    assert len(odd_rows) == 10 and all(x.lang_pred == "und" and x.score == 0 for x in odd_rows if x.doc_id in (1, 2, 3))
+    assert language_id.predict_languages(empty).count() == 0
+
+
+def test_toxicity(spark, odd, empty):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    got = toxicity.score(docs, toxicity.learn(docs, labels)).join(labels, "doc_id").where("held_out").collect()
+    toxic = [x for x in got if x.toxic == 1]
+    assert sum(x.predicted for x in toxic) >= 0.8 * len(toxic)
+    assert sum(x.predicted for x in got if x.toxic == 0) <= 0.03 * len(got)
+    model = toxicity.learn(empty, labels.limit(0))
+    scores = toxicity.score(odd, model).collect()
+    assert len(scores) == 10 and all(x.predicted == 0 and 0 <= x.score <= 1 for x in scores)
+    insult = spark.createDataFrame([(1, "you idiot, worthless moron")], "doc_id long, text string")
+    assert toxicity.score(insult, model).first().predicted == 1
+
+
+def test_leaks(spark, odd, empty):
+    docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "benchmark"))
+    got = {(x.doc_id, x.item_id) for x in decontaminate.leaks(docs, items).collect()}
+    plain = {x.item_id: " ".join(x.text.split()) for x in items.collect()}
+    want = {(d, i) for d, t in pairs(docs) for i, x in plain.items() if x in " ".join((t or "").split())}
+    assert want <= got and len(got) <= len(want) + 3
+    assert decontaminate.leaks(odd, items).count() == 0 and decontaminate.leaks(empty, items).count() == 0
+    assert decontaminate.leaks(docs, items.limit(0)).count() == 0
+
+
+def test_common_subsequence():
+    assert decontaminate.common_subsequence([1, 2, 3, 4], [9, 1, 3, 9, 4, 2]) == 3
+    assert decontaminate.common_subsequence([1], []) == 0
+
+
+def test_licences(spark, odd, empty):
+    rows = [(i, f"Copyright (c) 2020 Me\n\n{t.replace('license', 'licence').upper()}\n") for i, (_, t) in enumerate(licences.KNOWN)]
+    rows.append((99, "some words\n  Released under the MIT License.\nmore"))
+    got = {x.doc_id: x for x in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].licence for i in range(len(licences.KNOWN))] == [x for x, _ in licences.KNOWN]
+    assert got[99].licence is None and got[99].notices == "MIT"
+    assert licences.scan(odd).count() == 10 and licences.scan(empty).count() == 0
+
+
+def test_secrets(spark, odd, empty):
+    code = hashlib.sha1(b"x").hexdigest()
+    texts = [f'the token = "{code}" here', f"commit {code} of it", "order 4785380592391139 of", "mail someone2.long.name@mail.example.com"]
+    frame = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    assert {(x.doc_id, x.value) for x in secrets.find_secrets(frame).where("secret").collect()} == {(0, code)}
+    clean = {x.doc_id: x for x in secrets.redact(frame).collect()}
+    assert clean[0].text == 'the token = "[SECRET]" here' and clean[0].n_chars == len(clean[0].text)
+    assert [clean[i].text for i in (1, 2, 3)] == texts[1:]
+    assert secrets.redact(odd).count() == 10 and secrets.find_secrets(empty).count() == 0
+
+
+def test_pipeline_keeps_what_its_stages_keep(spark):
+    import corpus_pipeline
+
+    docs, bench, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "benchmark", "labels"))
+    got = {x.doc_id for x in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()}
+    rows = {x.doc_id: x.text for x in toxicity.drop_toxic(docs, labels).collect()}
+    kept = {d for d, (_, c) in brute_components(rows.items(), 5).items() if d == c}
+    leaked = {x.doc_id for x in decontaminate.leaks(docs, bench).collect()}
+    assert got == kept - leaked
+    assert set(queries.all_queries()) >= {"pipeline"}
