@@ -40,22 +40,23 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "ads":
         lines = file_lines(spark, args.files) if args.files else kafka_lines(spark, args.servers, args.topics)
         trigger = {"trigger": {"availableNow": True}} if args.once else {}
-        for query in AdClickJob(args.root, **trigger).start(lines):
-            query.awaitTermination()
+        AdClickJob(args.root, **trigger).run(lines, args.once)
         return
 
     def table(name: str):
         return tables.read_table(spark, f"{args.tables}/{name}")
 
-    actions, tasks, sink = table("user_visit_action"), table("task"), folder_sink(args.out)
-    if args.job == "session":
-        run_session_job(actions, tables.user_info(table("user_info")), tasks, args.task, sink)
-    elif args.job == "page":
-        run_page_job(actions, tasks, args.task, sink)
-    else:
-        cities, products = tables.city_info(table("city_info")), tables.product_info(table("product_info"))
-        run_product_job(actions, cities, products, tasks, args.task, sink)
-    clear_shared(spark)
+    try:
+        actions, tasks, sink = table("user_visit_action"), table("task"), folder_sink(args.out)
+        if args.job == "session":
+            run_session_job(actions, tables.user_info(table("user_info")), tasks, args.task, sink)
+        elif args.job == "page":
+            run_page_job(actions, tasks, args.task, sink)
+        else:
+            cities, products = tables.city_info(table("city_info")), tables.product_info(table("product_info"))
+            run_product_job(actions, cities, products, tasks, args.task, sink)
+    finally:
+        clear_shared(spark)
 
 
 if __name__ == "__main__":

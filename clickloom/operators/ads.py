@@ -10,6 +10,8 @@ from clickloom.operators.skew import filter_by_keys
 
 # Fixed value: clicks on one ad by one user in one day that put the user on the blacklist.
 BLACKLIST_THRESHOLD = 100
+# Fixed value: the end of year 9999. Times outside 1970 to then are taken as malformed.
+LAST_MILLIS = 253_402_300_799_999
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -19,7 +21,8 @@ def _parsed(lines: DataFrame) -> DataFrame:
     def field(i: int) -> Column:
         return F.get(part, F.lit(i))
 
-    click_time = F.timestamp_millis(field(0).try_cast("bigint"))
+    millis = field(0).try_cast("bigint")
+    click_time = F.when(millis.between(0, LAST_MILLIS), F.timestamp_millis(millis))
     return lines.select(
         "value",
         click_time.alias("click_time"),

@@ -81,7 +81,7 @@ def session_category_clicks(actions: DataFrame) -> DataFrame:
 
 def within_categories(rows: DataFrame, categories: DataFrame) -> DataFrame:
     """Rows of the given top categories. `categories` is a top-n report, so it fits a broadcast."""
-    return rows.join(F.broadcast(categories.select("category_id")), "category_id", "left_semi")
+    return rows.join(categories.select("category_id"), "category_id", "left_semi")
 
 
 def top_sessions(clicks: DataFrame, n: int = 10) -> DataFrame:
@@ -95,5 +95,5 @@ def top_session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
 
     `sessions` is the report of `top_sessions` over top categories: n x n rows at most.
     """
-    listed = F.broadcast(sessions.select("category_id", "session_id"))
+    listed = sessions.select("category_id", "session_id")
     return actions.join(listed, "session_id")

@@ -7,24 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators.skew import row_salt
 
-# Up to this n Spark drops rows beyond the n-th inside each task, before the shuffle.
-PRE_SHUFFLE_LIMIT = 1000
-
-
-def top_n(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank", salts: int = 32
-) -> DataFrame:
+def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """Rows ranked 1..n per group by row_number.
 
     A literal `rank <= n` lets Spark limit each group per task, so a hot group reaches its reducer
-    with n rows per task. For a larger n the rows are first ranked in salted sub-groups, whose
-    first n rows contain the group's first n.
+    with n rows per task.
     """
-    if n > PRE_SHUFFLE_LIMIT:
-        salted = df.withColumn("_salt", row_salt(df.columns, salts))
-        df = _ranked(salted, [*group, "_salt"], order, n, "_sub_rank").drop("_salt", "_sub_rank")
     return _ranked(df, group, order, n, rank)
 
 

@@ -11,8 +11,6 @@ from clickloom.session import shared_table
 
 _SALT = "_salt"
 _HOT = "_hot"
-# Rows of a narrow table that every executor can hold without effort.
-MAX_BROADCAST_ROWS = 500_000
 LEFT_DRIVEN_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -69,38 +67,21 @@ def skew_join(
     return joined.drop(_SALT)
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether `df` stays within `max_rows`. Reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def map_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join with a table that is usually small.
 
-
-def map_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join that ships `right` to every task when it has at most `max_rows` rows.
-
-    A larger side joins by shuffle instead.
+    Spark ships `right` to every task if its size, known from storage or measured at run time, is
+    below the broadcast threshold, and shuffles otherwise.
     """
-    return left.join(F.broadcast(right) if has_at_most(right, max_rows) else right, on, how)
+    return left.join(right, on, how)
 
 
-def filter_by_keys(left: DataFrame, keys: DataFrame, on: str, how: str, salt_by: Sequence[str] | None = None) -> DataFrame:
+def filter_by_keys(left: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
     """Keep (`left_semi`) or drop (`left_anti`) the rows of `left` whose key is listed.
 
-    A list within the broadcast bound leaves `left` where it is. A longer one joins by shuffle with
-    the hot keys of `left` spread out; they are picked from a sample. `keys` should be a stored
-    table, as it is read more than once.
+    Adaptive execution picks the join and splits hot keys; `skew_join` is there to be asked for.
     """
-    listed = keys.select(on)
-    if has_at_most(listed, MAX_BROADCAST_ROWS):
-        joined = left.join(F.broadcast(listed), on, how)
-    else:
-        joined = skew_join(left, listed, on, how, sample=0.01, salt_by=salt_by)
-    return joined.select(*left.columns)
+    return left.join(keys.select(on), on, how).select(*left.columns)
 
 
 def salted_count(

@@ -18,7 +18,6 @@ from clickloom.operators.categories import (
 )
 from clickloom.operators.sampling import sample_sessions
 from clickloom.operators.sessions import filter_sessions, session_measures, session_rollup, session_stats
-from clickloom.operators.skew import MAX_BROADCAST_ROWS, has_at_most
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import shared_table
 from clickloom.sources.tables import scan_actions, typed_actions
@@ -57,14 +56,11 @@ class SessionAnalysis:
     def facts(self) -> DataFrame:
         """Category facts of the passing sessions.
 
-        A checked, small set of sessions cuts the actions down before anything is shuffled. A large
-        one meets the combined facts, in which a session has one row per category.
+        Facts are combined before they are shuffled: a session has one row per category when it
+        meets the ids.
         """
         ids = self.sessions.select("session_id")
-        if has_at_most(ids, MAX_BROADCAST_ROWS):
-            facts = session_category_facts(self.selected.join(F.broadcast(ids), "session_id", "left_semi"))
-        else:
-            facts = session_category_facts(self.selected).join(ids, "session_id", "left_semi")
+        facts = session_category_facts(self.selected).join(ids, "session_id", "left_semi")
         return shared_table(facts, "session-facts")
 
     @cached_property
@@ -79,7 +75,7 @@ class SessionAnalysis:
 
     @cached_property
     def _drawn_actions(self) -> DataFrame:
-        return self.selected.join(F.broadcast(self.drawn), "session_id", "left_semi")
+        return self.selected.join(self.drawn, "session_id", "left_semi")
 
     @cached_property
     def sample(self) -> DataFrame:

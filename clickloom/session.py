@@ -11,13 +11,11 @@ WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Settings this library relies on. Adaptive execution re-plans joins from measured shuffle sizes
-# and splits skewed join partitions; object-hash aggregation is allowed far more groups before it
-# falls back to sorting, because distinct keyword lists are built for many sessions at once.
+# and splits skewed join partitions.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }

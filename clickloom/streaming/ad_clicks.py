@@ -92,6 +92,7 @@ class AdClickJob:
         known = self.blacklist_before(spark, batch_id)
         clicks = ads.without_blacklisted(ads.parse_ad_log(lines), known)
         published = publish_batch(clicks, self.clean_log, batch_id)
+        publish_batch(ads.malformed_ad_log(lines), f"{self.root}/malformed-log", batch_id)
         clean = spark.read.schema(schemas.AD_CLICK).parquet(published)
 
         self.user_clicks.write(ads.user_ad_counts(clean), batch_id)
@@ -171,3 +172,22 @@ class AdClickJob:
         """Start all three queries; on restart each resumes from its checkpoint."""
         clean = self.clean_clicks(lines.sparkSession)
         return [self.filter_clicks(lines), self.running_totals(clean), self.click_trends(lines)]
+
+    def run(self, lines: DataFrame, once: bool = False) -> None:
+        """Run until a query ends; with `once`, until all that is there is processed.
+
+        Once, the totals begin after the filter has written the whole clean log. A query that fails
+        ends the others and the job.
+        """
+        spark = lines.sparkSession
+        if once:
+            self.filter_clicks(lines).awaitTermination()
+            self.click_trends(lines).awaitTermination()
+            self.running_totals(self.clean_clicks(spark)).awaitTermination()
+            return
+        queries = self.start(lines)
+        try:
+            spark.streams.awaitAnyTermination()
+        finally:
+            for query in queries:
+                query.stop()

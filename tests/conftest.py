@@ -23,6 +23,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def shuffle_only(spark):
+    """Call it to keep Spark from choosing broadcast joins for the rest of a test."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    yield lambda: spark.conf.set(key, "-1")
+    spark.conf.unset(key)
+
+
 DEFAULTS = {
     "date": "2024-03-01",
     "user_id": 1,

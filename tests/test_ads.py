@@ -36,12 +36,12 @@ def test_malformed_lines_are_set_aside(spark):
     assert (str(click.date), click.province, click.city, click.user_id, click.ad_id) == ("2024-03-01", "P", "C", 1, 1)
 
 
-def test_blacklist_by_broadcast_and_by_shuffle(spark, monkeypatch):
+def test_blacklist_by_broadcast_and_by_shuffle(spark, shuffle_only):
     clicks = ads.parse_ad_log(lines(spark, *[line(i, user=1 if i % 3 == 0 else i) for i in range(300)]))
     barred = shared_table(spark.createDataFrame([(1,), (5,), (5,), (900,)], "user_id bigint"), "barred")
     small = ads.without_blacklisted(clicks, barred)
     assert small.count() == 198 and small.columns == clicks.columns  # of 1 to 299, user 5 clicked once, 1 on its own once
-    monkeypatch.setattr("clickloom.operators.skew.MAX_BROADCAST_ROWS", 2)
+    shuffle_only()
     assert sorted(map(repr, ads.without_blacklisted(clicks, barred).collect())) == sorted(map(repr, small.collect()))
 
 
@@ -221,3 +221,20 @@ def test_start_runs_all_three_queries(spark, feed):
         for query in j.start(feed.stream()):
             query.awaitTermination()
     check(spark, feed, j)
+
+
+def test_times_out_of_range_are_malformed(spark):
+    bad = ["9223372036854775807 P C 1 1", "-5 P C 1 1", "x P C 1 1"]
+    frame = lines(spark, *bad, line(0))
+    assert ads.parse_ad_log(frame).count() == 1
+    assert sorted(x.value for x in ads.malformed_ad_log(frame).collect()) == sorted(bad)
+
+
+def test_once_gives_totals_of_all_clicks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join([*(line(i, "P", "C", i, 3) for i in range(50)), "broken"]))
+    job = AdClickJob(str(tmp_path / "job"), trigger={"availableNow": True})
+    job.run(file_lines(spark, str(tmp_path / "in")), once=True)
+    assert sum(x.click_count for x in job.stat.read(spark).collect()) == 50
+    malformed = spark.read.parquet(str(tmp_path / "job" / "malformed-log"))
+    assert [x.value for x in malformed.collect()] == ["broken"]

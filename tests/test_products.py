@@ -44,10 +44,10 @@ def test_top_products(spark, make_actions):
     assert {r.area_level for r in north} == {"A Level"}
 
 
-def test_top_products_with_too_many_cities_to_broadcast(spark, make_actions, monkeypatch):
+def test_top_products_with_too_many_cities_to_broadcast(spark, make_actions, shuffle_only):
     args = clicks(make_actions), cities(spark), catalogue(spark)
     want = sorted(map(repr, area_top_products(*args).collect()))
-    monkeypatch.setattr("clickloom.plans.area_products.MAX_BROADCAST_ROWS", 3)
+    shuffle_only()
     assert sorted(map(repr, area_top_products(*args).collect())) == want
 
 

@@ -157,21 +157,21 @@ def test_whole_job(make_actions, make_users):
     assert nothing.stats.first().session_count == 0 and nothing.sample.count() == 0
 
 
-def test_whole_job_with_too_many_sessions_to_broadcast(make_actions, make_users, monkeypatch):
+def test_whole_job_with_too_many_sessions_to_broadcast(make_actions, make_users, shuffle_only):
     def reports():
         result = SessionAnalysis(make_actions(*RICH), make_users(*USERS), JobParams(start_age=20, end_age=50))
         return [sorted(map(repr, f.collect())) for f in (result.top_categories, result.top_sessions, result.top_session_detail)]
 
     want = reports()
-    monkeypatch.setattr("clickloom.plans.session_analysis.MAX_BROADCAST_ROWS", 1)
+    shuffle_only()
     assert reports() == want
 
 
-def test_detail_by_broadcast_and_by_shuffle(make_actions, make_users, monkeypatch):
+def test_detail_by_broadcast_and_by_shuffle(make_actions, make_users, shuffle_only):
     actions, users = make_actions(*RICH), make_users(*USERS)
     kept = sessions.filter_sessions(sessions.session_measures(actions), users, JobParams())
     small = sessions.session_detail(actions, kept)
-    monkeypatch.setattr("clickloom.operators.skew.MAX_BROADCAST_ROWS", 1)
+    shuffle_only()
     large = sessions.session_detail(actions, kept)
     assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
     assert small.count() == 6 and small.columns == actions.columns

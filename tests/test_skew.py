@@ -64,21 +64,23 @@ def test_unsupported_join_type(left, right):
         skew.skew_join(left, right, "k", "full")
 
 
-def test_map_join_checks_the_size(left, right):
-    def joins(df):
-        return df._jdf.queryExecution().optimizedPlan().toString()
+def test_spark_chooses_how_to_join_by_size(left, right, shuffle_only):
+    def plan(df):
+        df.count()
+        return df._jdf.queryExecution().executedPlan().toString()
 
-    small, large = skew.map_join(left, right, "k"), skew.map_join(left, right, "k", max_rows=10)
-    assert "strategy=broadcast" in joins(small) and "strategy=broadcast" not in joins(large)
-    same(small, large)
+    small, want = skew.map_join(left, right, "k"), left.join(right, "k").collect()
+    assert "BroadcastHashJoin" in plan(small)
+    shuffle_only()
+    large = skew.map_join(left, right, "k")
+    assert "SortMergeJoin" in plan(large) and sorted(map(repr, large.collect())) == sorted(map(repr, want))
 
 
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
-def test_filter_by_keys_beyond_the_broadcast_bound(left, right, how, monkeypatch):
-    want = left.join(right, "k", how)
-    same(skew.filter_by_keys(left, right, "k", how), want)
-    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 5)
-    same(skew.filter_by_keys(left, right, "k", how, salt_by=["row_id"]), want)
+def test_filter_by_keys(left, right, how, shuffle_only):
+    same(skew.filter_by_keys(left, right, "k", how), left.join(right, "k", how))
+    shuffle_only()
+    same(skew.filter_by_keys(left, right, "k", how), left.join(right, "k", how))
 
 
 def test_salted_count_equals_count(left):
