@@ -138,6 +138,17 @@ CTES = {
     "province_ads": (["ad_clicks"], """
         SELECT date, province, ad_id, count(*) AS click_count FROM ad_clicks GROUP BY date, province, ad_id
         QUALIFY row_number() OVER (PARTITION BY date, province ORDER BY count(*) DESC, ad_id) <= 3"""),
+    "first_run": (["ad_clicks"], """
+        SELECT * FROM ad_clicks WHERE minute(click_time) < 30"""),
+    "barred_first": (["first_run"], """
+        SELECT DISTINCT user_id FROM first_run GROUP BY date, user_id, ad_id HAVING count(*) >= 2"""),
+    "both_runs": (["first_run", "barred_first"], """
+        SELECT * FROM first_run
+        UNION ALL
+        SELECT * FROM ad_clicks
+        WHERE minute(click_time) >= 30 AND user_id NOT IN (SELECT user_id FROM barred_first)"""),
+    "user_ad_both": (["both_runs"], """
+        SELECT date, user_id, ad_id, count(*) AS click_count FROM both_runs GROUP BY ALL"""),
     "minutes": (["ad_clicks"], """
         SELECT date_trunc('minute', click_time) AS minute_start, ad_id, count(*) AS click_count
         FROM ad_clicks GROUP BY ALL"""),
@@ -242,21 +253,9 @@ def statements() -> dict[str, str]:
         "snk1_append": _with(
             f"""SELECT t.task_id, c.* FROM ({counts} top_category) c CROSS JOIN (VALUES (1), (2)) t(task_id)"""
             .replace("t.task_id", "cast(t.task_id AS BIGINT) AS task_id"), "top_category"),
-        "snk2_upsert_replace": _with(
-            f"""SELECT {day}, province, city, ad_id, click_count FROM ad_stat WHERE date >= DATE '2024-01-16'
-                UNION ALL
-                SELECT {day}, province, city, ad_id, click_count FROM (
-                    SELECT date, province, city, ad_id, count(*) AS click_count FROM ad_clicks
-                    WHERE minute(click_time) < 30 AND date < DATE '2024-01-16' GROUP BY ALL)""", "ad_stat"),
+        "snk2_upsert_replace": _with(stat, "ad_stat"),
         "snk3_upsert_add": _with(f"SELECT {day}, user_id, ad_id, click_count FROM user_ad", "user_ad"),
-        "snk4_delete_insert": _with(
-            f"""SELECT {day}, province, ad_id, click_count FROM province_ads WHERE date >= DATE '2024-01-16'
-                UNION ALL
-                SELECT {day}, province, ad_id, click_count FROM (
-                    SELECT date, province, ad_id, count(*) AS click_count FROM ad_clicks
-                    WHERE minute(click_time) < 30 AND date < DATE '2024-01-16' GROUP BY date, province, ad_id
-                    QUALIFY row_number() OVER (PARTITION BY date, province ORDER BY count(*) DESC, ad_id) <= 3)""",
-            "province_ads"),
+        "snk4_delete_insert": _with(f"SELECT {day}, province, ad_id, click_count FROM province_ads", "province_ads"),
         "snk5_blacklist_append": _with(
             "SELECT DISTINCT user_id FROM user_ad WHERE click_count >= 2", "user_ad"),
         # filters and projections
@@ -340,6 +339,7 @@ def statements() -> dict[str, str]:
         "srt1_top_categories": _with(counts + "top_category", "top_category"),
         "smp1_session_sample": _with(f"SELECT {SESSION_COLUMNS} FROM sample", "sample", total=1000),
         "smp1_session_sample_100": _with(f"SELECT {SESSION_COLUMNS} FROM sample", "sample", total=100),
+        "smp1_session_sample_5000": _with(f"SELECT {SESSION_COLUMNS} FROM sample", "sample", total=5000),
         "set1_category_universe": _with("SELECT DISTINCT category_id FROM entries", "entries"),
         # page flow
         "fun1_flow_hops": _with("SELECT session_id, hop FROM matched", "matched"),
@@ -355,6 +355,7 @@ def statements() -> dict[str, str]:
             "product_info"),
         "udf3_random_prefix": _with(
             "SELECT session_id, true AS prefix_in_range FROM actions", "actions"),
+        "udf3_random_prefix_spread": _with("SELECT least(8, count(*)) AS prefixes FROM actions", "actions"),
         "udf4_remove_random_prefix": _with("SELECT session_id FROM actions", "actions"),
         "udf5_group_concat_distinct": _with(
             """SELECT area, array_to_string(list_sort(list(DISTINCT city_name)), ',') AS city_names
@@ -365,6 +366,10 @@ def statements() -> dict[str, str]:
         "str3_dynamic_blacklist": _with(
             """SELECT user_id FROM seed UNION SELECT user_id FROM clean_user_ad WHERE click_count >= 2""",
             "seed", "clean_user_ad"),
+        "str2_counts_over_batches": _with(
+            f"SELECT {day}, user_id, ad_id, click_count FROM user_ad_both", "user_ad_both"),
+        "str3_threshold_over_batches": _with(
+            "SELECT DISTINCT user_id FROM user_ad_both WHERE click_count >= 2", "user_ad_both"),
         "str4_running_totals": _with(
             f"SELECT {day}, province, city, ad_id, count(*) AS click_count FROM clean GROUP BY ALL", "clean"),
         "str5_province_top_ads": _with(
@@ -372,10 +377,25 @@ def statements() -> dict[str, str]:
                     SELECT date, province, ad_id, count(*) AS click_count FROM clean GROUP BY date, province, ad_id
                     QUALIFY row_number() OVER (PARTITION BY date, province ORDER BY count(*) DESC, ad_id) <= 3)""",
             "clean"),
+        "str5_top_ads_over_batches": _with(
+            f"""SELECT {day}, province, ad_id, click_count FROM (
+                    SELECT date, province, ad_id, count(*) AS click_count FROM both_runs GROUP BY date, province, ad_id
+                    QUALIFY row_number() OVER (PARTITION BY date, province ORDER BY count(*) DESC, ad_id) <= 3)""",
+            "both_runs"),
         "str6_click_trend": _with(trend, "minutes"),
         "str6_trailing_hour": _with(
             f"""SELECT {MINUTE} AS minute_start, ad_id, click_count FROM minutes
                 WHERE minute_start > (SELECT max(minute_start) FROM minutes) - INTERVAL 60 MINUTE""", "minutes"),
+        "str6_trend_over_batches": _with(trend, "minutes"),
+        "str6_sliding_clicks": _with(
+            """SELECT strftime(window_start, '%Y-%m-%d %H:%M') AS window_start,
+                      strftime(window_start + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M') AS window_end,
+                      ad_id, count(*) AS click_count
+               FROM (SELECT time_bucket(INTERVAL 10 MINUTE, click_time) - to_minutes(10 * i) AS window_start, ad_id
+                     FROM ad_clicks, range(6) t(i))
+               GROUP BY ALL""", "ad_clicks"),
+        "str7_restart_with_new_clicks": _with(
+            f"SELECT {day}, province, city, ad_id, count(*) AS click_count FROM both_runs GROUP BY ALL", "both_runs"),
         "str7_restart": _with(stat, "ad_stat"),
         # whole jobs
         "job_area_top_products": _with(area_top, "area_full"),

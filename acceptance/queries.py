@@ -17,9 +17,10 @@ from clickloom.plans.page_conversion import page_conversion, page_conversion_row
 from clickloom.plans.session_analysis import SessionAnalysis
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import new_folder, shared_table
-from clickloom.sinks.append import append_rows, with_task
+from clickloom.sinks.append import read_results, write_task
 from clickloom.sinks.batch_tables import BatchTable, distinct_rows
 from clickloom.sources import tables, testdata
+from clickloom.sources.ad_log import file_lines
 from clickloom.sources.tasks import JobParams, parse_task_params
 from clickloom.streaming.ad_clicks import AdClickJob
 
@@ -59,7 +60,8 @@ def all_queries() -> dict[str, Query]:
 def as_text(df: DataFrame) -> DataFrame:
     """Dates and times as text, so that any engine's rows compare equal."""
     formats = {"date": "yyyy-MM-dd", "action_time": text.TIME_TEXT, "start_time": text.TIME_TEXT,
-               "click_time": "yyyy-MM-dd HH:mm:ss.SSS", "minute_start": "yyyy-MM-dd HH:mm"}
+               "click_time": "yyyy-MM-dd HH:mm:ss.SSS", "minute_start": "yyyy-MM-dd HH:mm",
+               "window_start": "yyyy-MM-dd HH:mm", "window_end": "yyyy-MM-dd HH:mm"}
     return df.select(
         *[F.date_format(c, formats[c]).alias(c) if c in formats else F.col(c) for c in df.columns]
     )
@@ -119,6 +121,11 @@ def later_half_hour(clicks: DataFrame) -> DataFrame:
     return clicks.where(F.minute("click_time") >= 30)
 
 
+def early_part(clicks: DataFrame) -> DataFrame:
+    """All clicks before the middle of the month, and after it those of the first half of every hour."""
+    return clicks.where((F.col("date") < F.lit("2024-01-16").cast("date")) | (F.minute("click_time") < 30))
+
+
 def from_mid_month(clicks: DataFrame) -> DataFrame:
     return clicks.where(F.col("date") >= F.lit("2024-01-16").cast("date"))
 
@@ -134,7 +141,7 @@ def ad_job(spark: SparkSession) -> AdClickJob:
 def filtered_job(spark: SparkSession, sf: str) -> AdClickJob:
     """Run the blacklist query over the event stream, starting from the seed blacklist."""
     job = ad_job(spark)
-    job.seed_blacklist(seed_users(ad_clicks(spark, sf)))
+    job.bar_users(seed_users(ad_clicks(spark, sf)))
     job.filter_clicks(testdata.ad_log_stream(spark, sf)).awaitTermination()
     return job
 
@@ -146,6 +153,16 @@ def totalled_job(spark: SparkSession, sf: str) -> AdClickJob:
     return job
 
 
+def job_in_two_runs(spark: SparkSession, sf: str) -> AdClickJob:
+    """The whole job over the lines of the first half of every hour, then again with the others added."""
+    job, folder, lines = ad_job(spark), new_folder(spark, "ad-lines"), testdata.ad_log(spark, sf)
+    minute = F.pmod(F.floor(F.split("value", " ")[0].cast("bigint") / 60_000), F.lit(60))
+    for part in (minute < 30, minute >= 30):
+        lines.where(part).coalesce(1).write.mode("append").text(folder)
+        job.run(file_lines(spark, folder), once=True)
+    return job
+
+
 def trend_job(spark: SparkSession, sf: str) -> AdClickJob:
     job = ad_job(spark)
     job.click_trends(testdata.ad_log_stream(spark, sf)).awaitTermination()
@@ -157,8 +174,7 @@ def trend_job(spark: SparkSession, sf: str) -> AdClickJob:
 
 @query
 def src1_actions_by_date(spark, sf):
-    scan = testdata.actions(spark, sf, "2024-01-05", "2024-01-20")
-    return as_text(tables.scan_actions(scan, "2024-01-05", "2024-01-20"))
+    return as_text(tables.scan_actions(testdata.actions(spark, sf), "2024-01-05", "2024-01-20"))
 
 
 @query
@@ -193,7 +209,7 @@ def src5_ad_log_stream(spark, sf):
 def src6_blacklist_snapshot(spark, sf):
     """The list as the first micro-batch sees it, although the batch itself extends it."""
     job = filtered_job(spark, sf)
-    return job.blacklist_before(spark, 0)
+    return job.blacklisted(spark, 0)
 
 
 # --- sinks ---------------------------------------------------------------------------------------
@@ -202,15 +218,15 @@ def src6_blacklist_snapshot(spark, sf):
 @query
 def snk1_append(spark, sf):
     path = f"{new_folder(spark, 'results')}/top10_category"
-    for task_id in (1, 2):
-        append_rows(with_task(top_categories(spark, sf), task_id), path)
-    return spark.read.parquet(path)
+    for task_id in (1, 2, 1):  # the task that runs again replaces its rows
+        write_task(top_categories(spark, sf), path, task_id)
+    return read_results(spark, path)
 
 
 @query
 def snk2_upsert_replace(spark, sf):
     table, clicks = ad_job(spark).stat, ad_clicks(spark, sf)
-    table.write(ads.ad_totals(first_half_hour(clicks)), 0)
+    table.write(ads.ad_totals(early_part(clicks)), 0)
     table.write(ads.ad_totals(from_mid_month(clicks)), 1)
     return as_text(table.read(spark))
 
@@ -227,7 +243,7 @@ def snk3_upsert_add(spark, sf):
 @query
 def snk4_delete_insert(spark, sf):
     table, clicks = ad_job(spark).province_top, ad_clicks(spark, sf)
-    table.write(ads.province_top_ads(ads.ad_totals(first_half_hour(clicks))), 0)
+    table.write(ads.province_top_ads(ads.ad_totals(early_part(clicks))), 0)
     table.write(ads.province_top_ads(ads.ad_totals(from_mid_month(clicks))), 1)
     return as_text(table.read(spark))
 
@@ -468,6 +484,11 @@ def smp1_session_sample_100(spark, sf):
     return session_columns(sampling.sample_sessions(stored_sessions(spark, sf)))
 
 
+@query
+def smp1_session_sample_5000(spark, sf):
+    return session_columns(sampling.sample_sessions(stored_sessions(spark, sf), 5000))
+
+
 @query
 def set1_category_universe(spark, sf):
     return categories.category_universe(testdata.actions(spark, sf))
@@ -519,6 +540,14 @@ def udf3_random_prefix(spark, sf):
     )
 
 
+@query
+def udf3_random_prefix_spread(spark, sf):
+    """All eight prefixes occur."""
+    register_functions(spark)
+    prefix = spark.sql("SELECT random_prefix(session_id, 8) AS value FROM {a}", a=testdata.actions(spark, sf))
+    return prefix.agg(F.countDistinct(F.substring_index("value", "_", 1)).alias("prefixes"))
+
+
 @query
 def udf4_remove_random_prefix(spark, sf):
     register_functions(spark)
@@ -549,7 +578,12 @@ def str2_user_ad_counts(spark, sf):
 
 @query
 def str3_dynamic_blacklist(spark, sf):
-    return filtered_job(spark, sf).blacklist.read(spark)
+    return filtered_job(spark, sf).blacklisted(spark)
+
+
+@query
+def str3_threshold_over_batches(spark, sf):
+    return job_in_two_runs(spark, sf).blacklisted(spark)
 
 
 @query
@@ -582,6 +616,32 @@ def str7_restart(spark, sf):
     return as_text(job.stat.read(spark))
 
 
+@query
+def str2_counts_over_batches(spark, sf):
+    return as_text(job_in_two_runs(spark, sf).user_clicks.read(spark))
+
+
+@query
+def str5_top_ads_over_batches(spark, sf):
+    return as_text(job_in_two_runs(spark, sf).province_top.read(spark))
+
+
+@query
+def str6_trend_over_batches(spark, sf):
+    return as_text(job_in_two_runs(spark, sf).trend.read(spark))
+
+
+@query
+def str6_sliding_clicks(spark, sf):
+    return as_text(ads.sliding_clicks(ad_clicks(spark, sf), "60 minutes", "10 minutes"))
+
+
+@query
+def str7_restart_with_new_clicks(spark, sf):
+    """The second run finds clicks that came after the first; users barred by the first stay out."""
+    return as_text(job_in_two_runs(spark, sf).stat.read(spark))
+
+
 # --- whole jobs ----------------------------------------------------------------------------------
 
 

@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.text import id_list
+from clickloom.functions.predicates import any_listed, one_of
+from clickloom.functions.text import id_list, seconds_between
 from clickloom.operators.ranking import top_n
 
 KINDS = ("click", "order", "pay")
+VISIT = "visit"
+
+
+def _stacked(actions: DataFrame, keep: Sequence[str], visits: bool) -> DataFrame:
+    """One (kind, category_id) row per category of an action; with `visits`, one more without a category."""
+    no_id, no_list = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    kinds = [
+        *([F.lit(VISIT), no_id, no_list] if visits else []),
+        *[F.lit("click"), F.col("click_category_id"), no_list],
+        *[F.lit("order"), no_id, F.col("order_category_ids")],
+        *[F.lit("pay"), no_id, F.col("pay_category_ids")],
+    ]
+    is_visit = F.col("kind") == VISIT
+    rows = actions.select(*keep, F.stack(F.lit(len(kinds) // 3), *kinds).alias("kind", "_one", "_list"))
+    rows = rows.where(is_visit | F.col("_one").isNotNull() | F.col("_list").isNotNull())
+    parts = rows.select(*keep, "kind", "_one", F.explode_outer(id_list(F.col("_list"))).alias("_part"))
+    category = F.coalesce(F.col("_one"), F.col("_part").try_cast("bigint"))
+    entries = parts.select(*keep, "kind", category.alias("category_id"))
+    return entries.where(is_visit | F.col("category_id").isNotNull())
 
 
 def category_entries(actions: DataFrame, *keep: str) -> DataFrame:
@@ -16,19 +38,7 @@ def category_entries(actions: DataFrame, *keep: str) -> DataFrame:
 
     An id list counts once per element. The actions are read once.
     """
-    kinds = actions.select(
-        *keep,
-        F.stack(
-            F.lit(3),
-            F.lit("click"), F.col("click_category_id"), F.lit(None).cast("string"),
-            F.lit("order"), F.lit(None).cast("bigint"), F.col("order_category_ids"),
-            F.lit("pay"), F.lit(None).cast("bigint"), F.col("pay_category_ids"),
-        ).alias("kind", "_one", "_list"),
-    ).where(F.col("_one").isNotNull() | F.col("_list").isNotNull())
-    parts = kinds.select(*keep, "kind", "_one", F.explode_outer(id_list(F.col("_list"))).alias("_part"))
-    category = F.coalesce(F.col("_one"), F.col("_part").try_cast("bigint"))
-    entries = parts.select(*keep, "kind", category.alias("category_id"))
-    return entries.where(F.col("category_id").isNotNull())
+    return _stacked(actions, keep, visits=False)
 
 
 def _kind_counts() -> list[Column]:
@@ -59,6 +69,42 @@ def session_category_facts(actions: DataFrame) -> DataFrame:
     return category_entries(actions, "session_id").groupBy("session_id", "category_id").agg(*_kind_counts())
 
 
+def session_activity(
+    actions: DataFrame, keywords: Sequence[str] | None = None, category_ids: Sequence[int] | None = None
+) -> DataFrame:
+    """`session_measures` and `session_category_facts` from one scan and one shuffle.
+
+    A session has one row with a NULL category, which holds the measures, and one for each
+    category, which holds the counts. Rows combine before the shuffle.
+    """
+    flagged = actions.select(
+        "*",
+        any_listed(F.col("search_keyword"), keywords).alias("_keyword"),
+        one_of(F.col("click_category_id"), category_ids).alias("_category"),
+    )
+    entries = _stacked(flagged, ["session_id", "user_id", "action_time", "_keyword", "_category"], visits=True)
+    activity = entries.groupBy("session_id", "category_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("action_time").alias("start_time"),
+        F.max("action_time").alias("end_time"),
+        F.count(F.when(F.col("kind") == VISIT, 1)).alias("step_length"),
+        F.coalesce(F.max("_keyword"), F.lit(False)).alias("keyword_hit"),
+        F.coalesce(F.max("_category"), F.lit(False)).alias("category_hit"),
+        *_kind_counts(),
+    )
+    return activity.withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
+
+
+def measures_from_activity(activity: DataFrame) -> DataFrame:
+    counts = [f"{kind}_count" for kind in KINDS]
+    return activity.where(F.col("category_id").isNull()).drop("category_id", *counts)
+
+
+def facts_from_activity(activity: DataFrame) -> DataFrame:
+    rows = activity.where(F.col("category_id").isNotNull())
+    return rows.select("session_id", "category_id", *[f"{kind}_count" for kind in KINDS])
+
+
 def category_counts_from_facts(facts: DataFrame) -> DataFrame:
     return facts.groupBy("category_id").agg(*[F.sum(f"{kind}_count").alias(f"{kind}_count") for kind in KINDS])
 

@@ -18,20 +18,27 @@ def _block_steps(actions: DataFrame, tie_break: Sequence[str], block_seconds: in
     """Actions with their predecessor inside a time block of the session.
 
     Cutting sessions into blocks lets many tasks order a session of any size. `_follows` and
-    `_leads` tell whether a row has a neighbour in its block. Actions at the same second are
-    ordered by `tie_break`, else by page.
+    `_leads` tell whether a row has a neighbour in its block. `_hop_page` is the page as far as hops
+    count it: actions at the same second are ordered by `tie_break`; without one their order is not
+    known, and it is NULL for them. Actions without a session belong to no visit and are left out.
     """
-    order = list(dict.fromkeys(["action_time", *(tie_break or ["page_id"])]))
-    rows = actions.select(
+    order = list(dict.fromkeys(["action_time", *tie_break]))
+    rows = actions.where(F.col("session_id").isNotNull()).select(
         "session_id",
         "page_id",
         *[c for c in order if c != "page_id"],
         F.floor(F.unix_timestamp("action_time") / block_seconds).alias("_block"),
     )
     in_block = Window.partitionBy("session_id", "_block").orderBy(*order)
+    page, time = F.col("page_id"), F.col("action_time")
+    if not tie_break:
+        alone = ~(F.lag(time).over(in_block).eqNullSafe(time) | F.lead(time).over(in_block).eqNullSafe(time))
+        page = F.when(alone, page)
+    rows = rows.withColumn("_hop_page", page)
+    before = F.lag("_hop_page").over(in_block)
     return rows.select(
         "*",
-        F.lag("page_id").over(in_block).alias("prev_page_id"),
+        F.when(F.col("_hop_page").isNotNull(), before).alias("prev_page_id"),
         F.lag(F.lit(True), 1, False).over(in_block).alias("_follows"),
         F.lead(F.lit(True), 1, False).over(in_block).alias("_leads"),
     )
@@ -50,7 +57,8 @@ def page_steps(
     # At most two rows per block and session.
     ends = rows.where(~F.col("_follows") | ~F.col("_leads"))
     in_session = Window.partitionBy("session_id").orderBy("_block", F.asc("_follows"))
-    firsts = ends.withColumn("prev_page_id", F.lag("page_id").over(in_session)).where(~F.col("_follows"))
+    before = F.when(F.col("_hop_page").isNotNull(), F.lag("_hop_page").over(in_session))
+    firsts = ends.withColumn("prev_page_id", before).where(~F.col("_follows"))
     wanted = ["session_id", "prev_page_id", "page_id"]
     return inner.select(*wanted).unionByName(firsts.select(*wanted))
 
@@ -100,11 +108,11 @@ def flow_counts(
     def hit(before: Column, after: Column, pair: tuple[int, int]) -> Column:
         return F.when((before == pair[0]) & (after == pair[1]), 1)
 
-    prev, page = F.col("prev_page_id"), F.col("page_id")
+    prev, page = F.col("prev_page_id"), F.col("_hop_page")
     blocks = _block_steps(actions, tie_break, block_seconds).groupBy("session_id", "_block").agg(
         F.max(F.when(~F.col("_follows"), page)).alias("_first"),
         F.max(F.when(~F.col("_leads"), page)).alias("_last"),
-        F.count(F.when(page == flow[0], 1)).alias("_c0"),
+        F.count(F.when(F.col("page_id") == flow[0], 1)).alias("_c0"),
         *[F.count(hit(prev, page, pair)).alias(f"_c{i}") for i, pair in pairs],
     )
     before = F.lag("_last").over(Window.partitionBy("session_id").orderBy("_block"))

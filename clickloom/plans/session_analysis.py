@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.categories import (
     category_counts_from_facts,
-    session_category_facts,
+    facts_from_activity,
+    measures_from_activity,
+    session_activity,
     top_categories,
     top_session_detail,
     top_sessions,
     within_categories,
 )
 from clickloom.operators.sampling import sample_sessions
-from clickloom.operators.sessions import filter_sessions, session_measures, session_rollup, session_stats
+from clickloom.operators.sessions import filter_sessions, session_rollup, session_stats
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import shared_table
 from clickloom.sources.tables import scan_actions, typed_actions
@@ -29,9 +31,9 @@ class SessionAnalysis:
     """Statistics, sample, top categories and top sessions of the sessions that meet `params`.
 
     Frames that several results read are written to the shared folder when first asked for, and
-    only once: the passing sessions, their (session, category) facts, and the small reports. Actions
-    are always combined before they are shuffled. Whole actions are read only for the detail of the
-    sampled and the top sessions, whose bounded id lists are broadcast.
+    only once: the activity per session and category, the passing sessions, their facts, and the
+    small reports. The actions are scanned twice: once for the activity, combined before it is
+    shuffled, and once for the whole actions of all sampled and top sessions together.
     """
 
     actions: DataFrame
@@ -46,21 +48,22 @@ class SessionAnalysis:
         """Typed actions of the date range, which is applied to the stored date."""
         return typed_actions(scan_actions(self.actions, self.params.start_date, self.params.end_date))
 
+    @cached_property
+    def activity(self) -> DataFrame:
+        """Measures and category counts of all sessions."""
+        return shared_table(session_activity(self.selected, self.params.keywords, self.params.category_ids), "activity")
+
     @cached_property
     def sessions(self) -> DataFrame:
         """Passing sessions."""
-        measured = session_measures(self.selected, self.params.keywords, self.params.category_ids)
+        measured = measures_from_activity(self.activity)
         return shared_table(filter_sessions(measured, self.users, self.params), "sessions")
 
     @cached_property
     def facts(self) -> DataFrame:
-        """Category facts of the passing sessions.
-
-        Facts are combined before they are shuffled: a session has one row per category when it
-        meets the ids.
-        """
+        """Category facts of the passing sessions."""
         ids = self.sessions.select("session_id")
-        facts = session_category_facts(self.selected).join(ids, "session_id", "left_semi")
+        facts = facts_from_activity(self.activity).join(ids, "session_id", "left_semi")
         return shared_table(facts, "session-facts")
 
     @cached_property
@@ -73,9 +76,15 @@ class SessionAnalysis:
         sampled = sample_sessions(self.sessions, self.sample_size, self.seed)
         return shared_table(sampled.select("session_id"), "sample")
 
+    @cached_property
+    def _listed_actions(self) -> DataFrame:
+        """Actions of the sampled and the top sessions: `sample_size` + `top` x `top` sessions at most."""
+        ids = self.drawn.union(self.top_sessions.select("session_id")).distinct()
+        return shared_table(self.selected.join(ids, "session_id", "left_semi"), "listed-actions")
+
     @cached_property
     def _drawn_actions(self) -> DataFrame:
-        return self.selected.join(self.drawn, "session_id", "left_semi")
+        return self._listed_actions.join(self.drawn, "session_id", "left_semi")
 
     @cached_property
     def sample(self) -> DataFrame:
@@ -105,5 +114,5 @@ class SessionAnalysis:
     @cached_property
     def top_session_detail(self) -> DataFrame:
         """Actions of the top sessions, once per category a session is listed under."""
-        detail = top_session_detail(self.selected, self.top_sessions)
+        detail = top_session_detail(self._listed_actions, self.top_sessions)
         return detail.select("category_id", *SESSION_DETAIL_COLUMNS)

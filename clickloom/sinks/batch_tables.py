@@ -4,7 +4,8 @@ Every batch writes one folder named by its number, so a replayed batch changes n
 file that a reader may be using is replaced. Reading merges the batches by the table's rule. After
 every `fold` batches those are merged into one folder, every `fold` of such folders into one again,
 and so on: a read touches few folders however long the stream runs, and a row is rewritten once
-per level rather than once per batch.
+per level rather than once per batch. Folders that a merged one has covered for a whole fold are
+deleted then, so a batch lists no more folders after a month than after an hour.
 """
 
 from __future__ import annotations
@@ -71,6 +72,8 @@ class BatchTable:
             if (span, batch_id) not in complete:
                 self._store(self._merged(spark, batch_id, batch_id - span, span // self.fold), span, batch_id)
             span *= self.fold
+        if (batch_id + 1) % self.fold == 0:
+            self.tidy(spark)
 
     def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """The merged table after batch `upto` (default: after the newest complete batch)."""
@@ -83,7 +86,7 @@ class BatchTable:
     def tidy(self, spark: SparkSession) -> int:
         """Delete folders that a larger one has covered for a whole fold; returns how many.
 
-        Run it when no reader can still be on a version that old.
+        A reader has `fold` batches to finish with a version it began to read.
         """
         complete = self._complete(spark)
         newest = max((n for _, n in complete), default=-1)
@@ -137,11 +140,13 @@ def publish_batch(rows: DataFrame, path: str, batch_id: int) -> str:
     """Make one batch of rows visible as `<path>/batch_id=<n>` in a single rename.
 
     A stream may be reading `path`, so it must never see part of a batch, nor the batch twice:
-    an existing folder is kept.
+    a complete folder is kept. One without its success mark was left half moved by a store that
+    cannot rename at once, and is written anew.
     """
     spark = rows.sparkSession
     final = f"{path}/{BATCH}={batch_id}"
-    if not glob(spark, final):
+    if not glob(spark, f"{final}/_SUCCESS"):
+        delete_folder(spark, final)
         staged = f"{path}_staged/{BATCH}={batch_id}"
         rows.write.mode("overwrite").parquet(staged)
         make_folder(spark, path)

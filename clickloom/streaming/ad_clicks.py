@@ -24,6 +24,7 @@ from clickloom.sinks.batch_tables import (
     BATCH,
     BatchTable,
     distinct_rows,
+    glob,
     latest_per_key,
     make_folder,
     newest_group,
@@ -78,18 +79,26 @@ class AdClickJob:
         merge = latest_per_key(["date", "hour", "minute", "ad_id"])
         return self._table("ad_click_trend", schemas.AD_CLICK_TREND, merge)
 
-    def seed_blacklist(self, user_ids: DataFrame) -> None:
-        """Users barred from the start. Call before the first batch."""
-        self.blacklist.write(user_ids, 0)
+    @property
+    def barred_by_hand(self) -> str:
+        """Folder of users barred from outside the job; anyone may add parquet files with a user_id."""
+        return f"{self.root}/ad_blacklist_given"
+
+    def bar_users(self, user_ids: DataFrame) -> None:
+        """Bar users from the next micro-batch on, before the job starts or while it runs."""
+        user_ids.select(F.col("user_id").cast("bigint")).write.mode("append").parquet(self.barred_by_hand)
 
-    def blacklist_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The blacklist a micro-batch filters by: the seed (batch 0) and all earlier batches."""
-        return self.blacklist.read(spark, batch_id)
+    def blacklisted(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        """Users barred by hand and by the micro-batches before `upto` (default: all)."""
+        found = self.blacklist.read(spark, None if upto is None else upto - 1)
+        if glob(spark, f"{self.barred_by_hand}/_SUCCESS"):
+            found = found.union(spark.read.schema(schemas.AD_BLACKLIST).parquet(self.barred_by_hand))
+        return found.distinct()
 
     def filter_batch(self, lines: DataFrame, batch_id: int) -> None:
         """One micro-batch of the first query."""
         spark = lines.sparkSession
-        known = self.blacklist_before(spark, batch_id)
+        known = self.blacklisted(spark, batch_id)
         clicks = ads.without_blacklisted(ads.parse_ad_log(lines), known)
         published = publish_batch(clicks, self.clean_log, batch_id)
         publish_batch(ads.malformed_ad_log(lines), f"{self.root}/malformed-log", batch_id)
@@ -98,8 +107,7 @@ class AdClickJob:
         self.user_clicks.write(ads.user_ad_counts(clean), batch_id)
         counts = self._touched(self.user_clicks, spark, batch_id, ["date", "user_id", "ad_id"])
         barred = ads.users_to_blacklist(counts, self.threshold).join(known, "user_id", "left_anti")
-        # Stream batch n is blacklist batch n + 1; batch 0 is the seed.
-        self.blacklist.write(barred, batch_id + 1)
+        self.blacklist.write(barred, batch_id)
 
     def totals_batch(self, totals: DataFrame, batch_id: int) -> None:
         """One micro-batch of the second query: changed totals, then the provinces they touch."""
@@ -112,12 +120,13 @@ class AdClickJob:
     def _touched(table: BatchTable, spark: SparkSession, batch_id: int, keys: list[str]) -> DataFrame:
         """Rows of the merged table whose keys occur in the batch.
 
-        The first and last date of the batch are literals, so files of other days are skipped.
+        The dates of the batch are literals, so files without any of them are skipped, and one click
+        of long ago does not bring in all days between.
         """
         batch = table.batch(spark, batch_id).select(*keys)
-        first, last = batch.agg(F.min("date"), F.max("date")).first()
-        days = F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-        return table.read(spark, batch_id).where(days).join(batch, keys, "left_semi")
+        # As many dates as a micro-batch has.
+        days = [x["date"] for x in batch.select("date").distinct().collect()]
+        return table.read(spark, batch_id).where(F.col("date").isin(days)).join(batch, keys, "left_semi")
 
     def trend_batch(self, minutes: DataFrame, batch_id: int) -> None:
         self.trend.write(ads.click_trend(minutes), batch_id)

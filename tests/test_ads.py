@@ -134,7 +134,7 @@ def expected(batches, threshold, seed=()):
 
 def check(spark, feed, j, seed=()):
     barred, users, stat, trend = expected(feed.written, j.threshold, seed)
-    assert sorted(r.user_id for r in j.blacklist.read(spark).collect()) == sorted(barred)
+    assert sorted(r.user_id for r in j.blacklisted(spark).collect()) == sorted(barred)
     assert content(j.user_clicks.read(spark)) == sorted((*k, n) for k, n in users.items())
     assert content(j.stat.read(spark)) == sorted((*k, n) for k, n in stat.items())
     got = {(f"{r.date} {r.hour} {r.minute}", r.ad_id): r.click_count for r in j.trend.read(spark).collect()}
@@ -172,12 +172,12 @@ def test_stream_of_batches_with_restart(spark, feed):
 
 def test_blacklisted_user_is_dropped_from_the_next_batch(spark, feed):
     j = job(spark)
-    j.seed_blacklist(spark.createDataFrame([(8,)], "user_id bigint"))
+    j.bar_users(spark.createDataFrame([(8,)], "user_id bigint"))
     feed.add(*[line(user=5)] * 3, line(user=6), line(user=8))
     feed.add(line(user=5), line(user=6))
     run(spark, feed, j)
     check(spark, feed, j, seed=[8])
-    assert sorted(r.user_id for r in j.blacklist.read(spark).collect()) == [5, 8]
+    assert sorted(r.user_id for r in j.blacklisted(spark).collect()) == [5, 8]
     assert content(j.user_clicks.read(spark)) == [("2024-03-01", 5, 1, 3), ("2024-03-01", 6, 1, 2)]
 
 
@@ -191,6 +191,26 @@ def test_count_reaches_the_threshold_over_several_batches(spark, feed):
     assert content(j.user_clicks.read(spark)) == [("2024-03-01", 5, 1, 3)]
 
 
+def test_users_barred_while_the_job_runs_are_dropped_from_the_next_batch(spark):
+    j = job(spark)
+    j.filter_batch(lines(spark, line(user=5), line(user=6)), 0)
+    j.bar_users(spark.createDataFrame([(6,)], "user_id bigint"))
+    j.filter_batch(lines(spark, line(user=5), line(user=6)), 1)
+    assert content(j.user_clicks.read(spark)) == [("2024-03-01", 5, 1, 2), ("2024-03-01", 6, 1, 1)]
+
+
+def test_state_is_let_go_after_the_lateness(spark, feed):
+    for day in range(5):
+        feed.add(*[line(day * 86_400 + i * 60, user=i, ad=i) for i in range(6)])
+    kept = {}
+    for lateness in (None, "1 hour"):
+        j = job(spark, lateness=lateness)
+        query = j.click_trends(feed.stream())
+        query.awaitTermination()
+        kept[lateness] = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert kept[None] == 30 and kept["1 hour"] < 15
+
+
 def test_replayed_micro_batch_changes_nothing(spark):
     j = job(spark)
     batch = lines(spark, *[line(user=5)] * 3, line(user=6))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.session import new_folder
-from clickloom.sinks.append import append_rows, with_task
+from clickloom.sinks.append import read_results, write_task
 from clickloom.sinks.batch_tables import (
     BatchTable,
     distinct_rows,
@@ -28,11 +28,14 @@ def content(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_append_keeps_earlier_rows(spark, tmp_path):
+def test_tasks_keep_each_others_rows_and_replace_their_own(spark, tmp_path):
     path = str(tmp_path / "out")
-    append_rows(with_task(rows(spark, ("a", 1, 1)), 4), path)
-    append_rows(with_task(rows(spark, ("b", 1, 1)), 5), path)
-    assert content(spark.read.parquet(path)) == [(4, "a", 1, 1), (5, "b", 1, 1)]
+    write_task(rows(spark, ("a", 1, 1)), path, 4)
+    for _ in range(2):
+        write_task(rows(spark, ("b", 1, 1)), path, 5)
+    assert content(read_results(spark, path)) == [(4, "a", 1, 1), (5, "b", 1, 1)]
+    write_task(rows(spark, ("a", 1, 1)).where("false"), path, 4)
+    assert content(read_results(spark, path)) == [(5, "b", 1, 1)]
 
 
 def test_latest_row_wins(spark):
@@ -86,9 +89,24 @@ def test_folding_changes_nothing(spark, name):
     spans = {f.rsplit("/", 2)[1] for f in glob(spark, f"{folded.path}/span-*/batch-*")}
     assert spans == {"span-1", "span-2", "span-4"}
     assert len(folded._cover(folded._complete(spark), None, -1, None)) == 3  # 0-3, 4-5, 6
-    assert content(folded.read(spark, 4)) == content(flat.read(spark, 4))
-    assert folded.tidy(spark) > 0
-    assert content(folded.read(spark)) == content(flat.read(spark))
+    assert content(folded.read(spark, 5)) == content(flat.read(spark, 5))
+
+
+def test_batches_list_no_more_folders_as_the_stream_grows(spark):
+    t = table(spark, sum_per_key(["g", "k"], "v"), fold=4)
+    data, listed = rows(spark, ("a", 1, 1)).coalesce(1), []
+    for batch in range(64):
+        t.write(data, batch)
+        listed.append(len(t._complete(spark)))
+    assert content(t.read(spark)) == [("a", 1, 64)]
+    assert max(listed[32:]) <= 3 * 2 * 4 and max(listed[48:]) <= max(listed[16:32]) + 4
+
+
+def test_half_moved_batch_is_published_anew(spark):
+    path = new_folder(spark, "log")
+    rows(spark, ("a", 1, 9)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/batch_id=0")
+    publish_batch(rows(spark, ("a", 1, 1)), path, 0)
+    assert content(spark.read.parquet(path)) == [("a", 1, 1, 0)]
 
 
 def test_published_batch_appears_once(spark):

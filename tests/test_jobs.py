@@ -1,10 +1,11 @@
 import pytest
 
 from clickloom import schemas
-from clickloom.__main__ import arguments
+from clickloom.__main__ import ad_job, arguments
 from clickloom.plans.jobs import run_page_job, run_product_job, run_session_job
 from clickloom.session import clear_shared, new_folder, shared_table
-from clickloom.sinks.append import folder_sink
+from clickloom.plans.session_analysis import SessionAnalysis
+from clickloom.sinks.append import folder_sink, read_results
 from clickloom.sources import testdata
 
 PARAMS = (
@@ -42,20 +43,34 @@ def test_jobs_append_their_result_tables(spark, tmp_path, actions, tasks, make_u
     run_product_job(actions, cities, products, tasks, 4, sink)
 
     def rows(name):
-        return sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/{name}").collect())
+        return sorted(tuple(r) for r in read_results(spark, f"{tmp_path}/{name}").collect())
 
-    stat = spark.read.parquet(f"{tmp_path}/session_aggr_stat").first()
+    stat = read_results(spark, f"{tmp_path}/session_aggr_stat").first()
     assert (stat.task_id, stat.session_count, stat.visit_length_4s_6s_ratio, stat.step_length_1_3_ratio) == (4, 2, 0.5, 1.0)
     assert len(stat) == 17
     assert [r[:2] for r in rows("session_random_extract")] == [(4, "a"), (4, "b")]
     assert rows("top10_category") == [(4, 3, 2, 0, 0)]
     assert rows("top10_session") == [(4, 3, "a", 1), (4, 3, "b", 1)]
-    detail = spark.read.parquet(f"{tmp_path}/session_detail")
+    detail = read_results(spark, f"{tmp_path}/session_detail")
     assert detail.count() == 6 and detail.columns == ["task_id", *schemas.SESSION_DETAIL_COLUMNS]
     assert rows("page_split_convert_rate") == [(4, "1_2=0.5")]
     assert rows("area_top3_product") == [(4, "China East", "A Level", 1, "1:Rome", 2, "p", "Self")]
     run_page_job(actions, tasks, 4, sink)
-    assert len(rows("page_split_convert_rate")) == 2
+    assert len(rows("page_split_convert_rate")) == 1  # the task's rows are replaced
+
+
+def scans_of(frame, folder):
+    return sum(x.startswith(folder) for x in frame.inputFiles())
+
+
+def test_session_results_read_stored_tables_only(spark, actions, make_users):
+    stored = shared_table(actions, "actions")
+    [source] = {x.rsplit("/", 1)[0] for x in stored.inputFiles()}
+    result = SessionAnalysis(stored, make_users((1, 30, "dev", "rome", "male")))
+    assert scans_of(result.activity, source) == 0 and scans_of(result._listed_actions, source) == 0
+    for frame in (result.stats, result.sample, result.sample_detail, result.top_categories, result.top_sessions,
+                  result.top_session_detail):
+        assert scans_of(frame, source) == 0  # all read stored tables
 
 
 def test_textual_dates_still_reach_the_file_scan(spark, actions, make_users):
@@ -79,6 +94,12 @@ def test_page_job_needs_a_flow(spark, actions):
 def test_command_line():
     args = arguments(["session", "--task", "3", "--tables", "/in", "--out", "/out"])
     assert (args.job, args.task) == ("session", 3)
+    ads = ["ads", "--root", "/r", "--files", "/f", "--threshold", "7", "--interval", "9 seconds"]
+    job = ad_job(arguments(ads))
+    assert (job.threshold, job.lateness, job.trigger) == (7, "1 day", {"processingTime": "9 seconds"})
+    assert ad_job(arguments([*ads, "--lateness", "none", "--once"])).lateness is None
+    page = ["page", "--task", "3", "--tables", "db", "--catalog", "--out", "/out", "--row-id", "event_id"]
+    assert (arguments(page).catalog, arguments(page).row_id) == (True, "event_id")
     assert arguments(["ads", "--root", "/r", "--topics", "a,b", "--servers", "h:1"]).topics == "a,b"
 
 

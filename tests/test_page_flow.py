@@ -96,10 +96,20 @@ def test_packed_row(make_actions):
     assert page_conversion_row(actions, again).first().convert_rate == "2_1=0.5|1_2=2.0"
 
 
-def test_page_breaks_ties_when_there_is_no_id(spark):
-    df = frame(spark, [("a", 2, 0, 0), ("a", 1, 0, 1)])
+def test_hops_of_one_second_need_a_row_id(spark):
+    df = frame(spark, [("a", 3, 0, 0), ("a", 2, 0, 1), ("a", 1, 0, 2), ("a", 2, 1, 3), ("a", 3, 2, 4)])
+    known = page_flow.conversion_rates(df, [1, 2, 3], ["event_id"]).orderBy("position").collect()
+    assert [r.hop_count for r in known] == [1, 1]
+    unknown = page_flow.conversion_rates(df, [1, 2, 3]).orderBy("position").collect()
+    assert [(r.hop_count, r.base_count) for r in unknown] == [(0, 1), (1, 0)]
     pairs = page_flow.page_pairs(page_flow.page_steps(df)).collect()
-    assert [(r.prev_page_id, r.page_id) for r in pairs] == [(1, 2)]
+    assert [(r.prev_page_id, r.page_id) for r in pairs] == [(2, 3)]
+
+
+def test_actions_without_session_make_no_hops(spark):
+    df = frame(spark, [(None, 1, 0, 0), (None, 2, 1, 1), ("a", 1, 0, 2)])
+    assert page_flow.page_steps(df, ["event_id"]).count() == 1
+    assert page_flow.conversion_rates(df, [1, 2], ["event_id"]).first().hop_count == 0
 
 
 def test_hot_sessions_are_spread_over_blocks(spark):

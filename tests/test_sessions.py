@@ -85,6 +85,19 @@ def test_category_counts(make_actions):
     assert ranked == [1, 11, 2, 9]
 
 
+def test_activity_holds_measures_and_facts(make_actions):
+    actions = make_actions(*RICH, {"session_id": None, "click_category_id": 4})
+    activity = categories.session_activity(actions, ["k"], [1])
+
+    def same(one, other):
+        columns = sorted(one.columns)
+        assert columns == sorted(other.columns)
+        assert sorted(map(repr, one.select(columns).collect())) == sorted(map(repr, other.select(columns).collect()))
+
+    same(categories.measures_from_activity(activity), sessions.session_measures(actions, ["k"], [1]))
+    same(categories.facts_from_activity(activity), categories.session_category_facts(actions))
+
+
 def test_unreadable_ids_are_no_category(make_actions):
     counts = categories.category_counts(make_actions({"order_category_ids": "1,x,"}))
     assert [tuple(r) for r in counts.collect()] == [(1, 0, 1, 0)]
