@@ -176,8 +176,10 @@ def pack(docs: DataFrame, params: PackParams | None = None) -> DataFrame:
 
     A null or empty text is the end id alone. Every row of the input is packed, repeated ones too;
     a null doc_id stays null. Other columns are ignored; an empty table gives an empty one.
-    Groups are dealt by place in the stored pieces, so no key can fill one. Bins of a group that
-    stay underfull go on to a round with sixteen times fewer groups, until a round has one.
+    Groups are dealt by place in the stored pieces, so no key can fill one, and hold about
+    `pieces_at_once` in every round. Bins of a group that stay underfull are dealt again to fewer
+    groups, until one group holds them all or a round closed the bins of less than half its pieces:
+    then another deal would help little, and the round after closes all.
     """
     params = params or default_params()
     stored = shared_table(pieces(docs, params).withColumn("place", F.monotonically_increasing_id()), "pieces")
@@ -185,17 +187,18 @@ def pack(docs: DataFrame, params: PackParams | None = None) -> DataFrame:
         *_PIECES_NAMES, F.col("place").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     rest = stored.where(F.col("length") < params.capacity)
-    n, level, done = rest.count(), 0, whole
-    n_groups = max(1, -(-n // params.pieces_at_once))
+    n, level, done, last = rest.count(), 0, whole, False
     while True:
         level += 1
-        last, number = n_groups == 1, level
-        packed = shared_table(_pack_groups(rest, n_groups, number, last, params), "packed")
+        n_groups = max(1, -(-n // params.pieces_at_once))
+        last = last or n_groups == 1
+        packed = shared_table(_pack_groups(rest, n_groups, level, last, params), "packed")
         done = done.union(packed.where("closed").select(*done.columns))
         if last:
             return done
         rest = packed.where("NOT closed").select(*rest.columns)
-        n_groups = max(1, min(-(-n_groups // 16), -(-rest.count() // params.pieces_at_once)))
+        left = rest.count()
+        n, last = left, 2 * left > n
 
 
 def _pack_groups(rest: DataFrame, n_groups: int, level: int, last: bool, params: PackParams) -> DataFrame:

@@ -217,6 +217,19 @@ def test_packing_in_groups_and_rounds(docs):
     assert len(rows) == len({(x.doc_id, x.piece) for x in rows})
 
 
+def test_packing_groups_stay_bounded_where_nothing_fits_together(spark):
+    import dataclasses
+
+    # Each fills more than half a sequence: no two fit together and no bin can be closed early.
+    rows = [(i, " the" * (1100 + i)) for i in range(200)]
+    few = dataclasses.replace(packing.default_params(), pieces_at_once=20)
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), few).collect()
+    assert all(1024 < x.length < 2048 for x in got) and len(got) == 200
+    assert len({x.sequence_id for x in got}) == 200
+    group_sizes = np.unique([x.sequence_id >> 24 for x in got], return_counts=True)[1]
+    assert len(group_sizes) == 10 and group_sizes.max() <= 60
+
+
 def test_local_search_empties_a_bin():
     lengths = [6, 3, 5, 4, 2]
     bins = packing.local_search([[0, 1], [2, 3], [4]], lengths, 10, 50)
