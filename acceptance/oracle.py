@@ -241,6 +241,14 @@ def statements() -> dict[str, str]:
         "src1_actions_by_date": _with(
             f"SELECT {ACTION_COLUMNS} FROM actions WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
             "actions"),
+        "scl2_unreadable_actions": _with(
+            """SELECT event_id, concat_ws(',', CASE WHEN event_id % 5 = 3 THEN 'action_time' END,
+                      CASE WHEN event_id % 7 = 0 AND order_category_ids IS NOT NULL THEN 'order_category_ids' END,
+                      CASE WHEN event_id % 7 = 0 AND pay_category_ids IS NOT NULL THEN 'pay_category_ids' END) AS reasons
+               FROM actions
+               WHERE event_id % 5 = 3
+                  OR event_id % 7 = 0 AND (order_category_ids IS NOT NULL OR pay_category_ids IS NOT NULL)""",
+            "actions"),
         "src2_user_info": _with("SELECT * FROM user_info", "user_info"),
         "src2_product_info": _with("SELECT * FROM product_info", "product_info"),
         "src3_city_info": _with("SELECT * FROM city_info", "city_info"),

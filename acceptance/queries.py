@@ -177,6 +177,29 @@ def src1_actions_by_date(spark, sf):
     return as_text(tables.scan_actions(testdata.actions(spark, sf), "2024-01-05", "2024-01-20"))
 
 
+@query
+def scl2_unreadable_actions(spark, sf):
+    """Times of every fifth row are written so that no job can read them, lists of every seventh too."""
+    actions = testdata.actions(spark, sf)
+    time = F.col("action_time")
+    styles = ("yyyy-MM-dd H:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy/MM/dd HH:mm", "yyyy-MM-dd HH:mm:ss")
+    text = F.date_format(time, styles[-1])
+    for i, style in enumerate(styles):
+        text = F.when(F.col("event_id") % 5 == i, F.date_format(time, style)).otherwise(text)
+
+    def spoilt(name):
+        return F.when(F.col("event_id") % 7 == 0, F.concat(name, F.lit(",x"))).otherwise(F.col(name)).alias(name)
+
+    written = actions.select(
+        "event_id",
+        F.col("date").cast("string").alias("date"),
+        text.alias("action_time"),
+        spoilt("order_category_ids"),
+        spoilt("pay_category_ids"),
+    )
+    return tables.unreadable_actions(written).select("event_id", "reasons")
+
+
 @query
 def src2_user_info(spark, sf):
     return tables.user_info(testdata.users(spark, sf))

@@ -31,6 +31,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--out", required=True)
         if name == "page":
             job.add_argument("--row-id", help="column that orders the actions of one second")
+    bad = jobs.add_parser("unreadable", help="set aside the actions whose times or ids the jobs cannot read")
+    bad.add_argument("--tables", required=True)
+    bad.add_argument("--catalog", action="store_true")
+    bad.add_argument("--out", required=True)
     ads = jobs.add_parser("ads")
     ads.add_argument("--root", required=True, help="folder for the job's tables and checkpoints")
     source = ads.add_mutually_exclusive_group(required=True)
@@ -69,8 +73,12 @@ def main(argv: list[str] | None = None) -> None:
             return tables.read_table(spark, f"{args.tables}.{name}", "table")
         return tables.read_table(spark, f"{args.tables}/{name}")
 
+    actions = table("user_visit_action")
+    if args.job == "unreadable":
+        tables.unreadable_actions(actions).write.mode("overwrite").parquet(f"{args.out}/unreadable_actions")
+        return
     try:
-        actions, tasks, sink = table("user_visit_action"), table("task"), folder_sink(args.out)
+        tasks, sink = table("task"), folder_sink(args.out)
         if args.job == "session":
             run_session_job(actions, tables.user_info(table("user_info")), tasks, args.task, sink)
         elif args.job == "page":

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 # One `H` also reads hours written without a leading zero.
-TIME_PATTERN = "yyyy-MM-dd H:mm:ss"
+TIME_PATTERN = "yyyy-MM-dd H:mm:ss[.SSSSSS]"
 
 
 def parse_time(value: Column) -> Column:
-    return F.try_to_timestamp(value, F.lit(TIME_PATTERN))
+    """Time of day after a space or a `T`, with or without a fraction; NULL if unreadable."""
+    return F.try_to_timestamp(F.replace(value, F.lit("T"), F.lit(" ")), F.lit(TIME_PATTERN))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

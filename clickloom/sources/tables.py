@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom import schemas
-from clickloom.functions.text import parse_time
+from clickloom.functions.text import id_list, parse_time
 
 
 def read_table(spark: SparkSession, location: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -72,15 +72,36 @@ def scan_actions(actions: DataFrame, start: str | date | None, end: str | date |
 
 
 def typed_actions(actions: DataFrame) -> DataFrame:
-    """Turn textual dates and times into real ones; typed columns pass through untouched."""
+    """Turn textual dates and times into real ones; typed columns pass through untouched.
+
+    Unreadable ones become NULL; `unreadable_actions` finds them.
+    """
     fields = {f.name: f.dataType for f in actions.schema}
     if isinstance(fields["date"], T.StringType):
-        actions = actions.withColumn("date", F.to_date("date"))
+        actions = actions.withColumn("date", F.col("date").try_cast("date"))
     if isinstance(fields["action_time"], T.StringType):
         actions = actions.withColumn("action_time", parse_time(F.col("action_time")))
     return actions
 
 
+def unreadable_actions(actions: DataFrame) -> DataFrame:
+    """Actions with a date, time or category id that the jobs cannot read, whole, with a comma list of `reasons`.
+
+    The reasons are names of columns. NULLs and empty list elements are missing, not unreadable.
+    """
+    fields = {f.name: f.dataType for f in actions.schema}
+    readers = {"date": lambda value: value.try_cast("date"), "action_time": parse_time}
+    bad = {
+        name: F.col(name).isNotNull() & read(F.col(name)).isNull()
+        for name, read in readers.items()
+        if isinstance(fields[name], T.StringType)
+    }
+    for name in ("order_category_ids", "pay_category_ids"):
+        bad[name] = F.exists(id_list(F.col(name)), lambda x: (F.trim(x) != "") & x.try_cast("bigint").isNull())
+    reasons = F.concat_ws(",", *[F.when(found, name) for name, found in bad.items()])
+    return actions.withColumn("reasons", reasons).where("reasons <> ''")
+
+
 def _conform(df: DataFrame, schema: str) -> DataFrame:
     wanted = T._parse_datatype_string(schema)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])

@@ -57,6 +57,12 @@ def test_times_with_and_without_leading_zero(spark):
     assert column(spark, ["2024-03-01 7:05:09"], text.date_hour(text.parse_time(F.col("v"))), "string") == ["2024-03-01_07"]
 
 
+def test_times_with_a_t_or_a_fraction(spark):
+    given = ["2024-03-01T07:05:09", "2024-03-01 7:05:09.5", "2024-03-01T07:05:09.123456", "2024/03/01 07:05:09", None]
+    parsed = column(spark, given, text.parse_time(F.col("v")), "string")
+    assert [x and (x.hour, x.second, x.microsecond) for x in parsed] == [(7, 9, 0), (7, 9, 500000), (7, 9, 123456), None, None]
+
+
 def test_string_helpers(spark):
     assert column(spark, [5, None], text.concat_long_string(F.col("v"), F.lit(None).cast("string"), ":")) == ["5:null", "null:null"]
     assert column(spark, ["12_a_b", "a_b", "x"], text.remove_random_prefix(F.col("v")), "string") == ["a_b", "a_b", "x"]

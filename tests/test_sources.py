@@ -84,3 +84,19 @@ def test_shared_folder_comes_from_the_session(spark):
 
 def test_settings_are_applied(spark):
     assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_unreadable_actions_are_found_and_become_null(spark):
+    schema = "id int, date string, action_time string, order_category_ids string, pay_category_ids string"
+    rows = [
+        (1, "2024-03-01", "2024-03-01 9:00:00", "1,2", None),
+        (2, "2024-03-01", "soon", "1,two", "3,"),
+        (3, "first of March", None, None, "x"),
+        (4, None, None, "", None),
+    ]
+    actions = spark.createDataFrame(rows, schema)
+    found = {x.id: x.reasons for x in tables.unreadable_actions(actions).collect()}
+    assert found == {2: "action_time,order_category_ids", 3: "date,pay_category_ids"}
+    typed = {x.id: (x.date, x.action_time) for x in tables.typed_actions(actions).collect()}
+    assert typed[3] == (None, None) and typed[2][1] is None and None not in typed[1]
+    assert tables.unreadable_actions(tables.typed_actions(actions).limit(0)).count() == 0
