@@ -268,6 +268,55 @@ def test_leaks(spark, odd, empty):
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n_docs", [20, 400, 4000])
+def test_leaks_of_short_items_and_paraphrases(spark, n_docs):
+    rng = np.random.default_rng(n_docs)
+    common = [f"c{chr(97 + i)}" for i in range(26)]
+    rare = ["".join(chr(97 + x) for x in rng.integers(0, 26, 9)) for _ in range(500)]
+
+    def item(n):
+        return [str(x) for x in rng.choice(rare, n)]
+
+    def around():
+        return [str(x) for x in rng.choice(common, 60)]
+
+    sizes = [3, 4, 8, 8, 16, 40, 250, 8, 16, 40]
+    items = [item(n) for n in sizes]
+    texts = [around() for _ in range(n_docs)]
+    for i, words in enumerate(items):
+        if i >= 7:  # paraphrases: all but the answer's words may change, by common words and by unseen ones
+            gone = set(range(len(words) // 4, len(words) // 4 + int(0.4 * len(words))))
+            words = [(str(rng.choice(common)) if j % 2 else f"unseen{'x' * j}") if j in gone else x for j, x in enumerate(words)]
+        texts[i][30 + i : 30 + i] = words
+    answers = [" ".join(x[: max(1, len(x) // 4)]) for x in items]
+    benchmark = spark.createDataFrame([(i, " ".join(x), a) for i, (x, a) in enumerate(zip(items, answers, strict=True))], "item_id long, text string, answer string")
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
+    for params in (decontaminate.LeakParams(), decontaminate.LeakParams(items_at_once=3)):
+        got = {(x.doc_id, x.item_id): x for x in decontaminate.leaks(docs, benchmark, params).collect()}
+        assert set(got) == {(i, i) for i in range(len(items))}
+        assert all(got[i, i].kind == ("copy" if i < 7 else "paraphrase") for i in range(len(items)))
+        assert all(got[i, i].common == 1 for i in range(7))
+
+
+def test_item_index_drops_no_region_that_could_hold_an_item():
+    rng = np.random.default_rng(3)
+    params = decontaminate.LeakParams()
+    items = [rng.integers(0, 30, n) for n in (1, 2, 3, 5, 9, 20, 60)]
+    frequency = rng.integers(0, 99, 30)
+    index = decontaminate.ItemIndex(items, frequency, params)
+    rows = [rng.integers(-1, 30, n) for n in (1, 4, 30, 200, 700)]
+    rows += [np.concatenate([rng.integers(-1, 30, 50), x[rng.random(len(x)) < 0.8], rng.integers(-1, 30, 50)]) for x in items]
+    row_words = np.cumsum([0] + [len(x) for x in rows])
+    pairs = set(index.pairs(np.concatenate(rows), row_words))
+    for (r, row), (i, item) in itertools.product(enumerate(rows), enumerate(items)):
+        n, kept = len(item), {(s, int(b)) for s, begin, _ in index.regions(i, row) for b in begin}
+        for span, step in index.spans[i]:
+            for begin in range(0, max(len(row) - span, 0) + step, step):
+                left, right = max(begin - n, 0), min(begin + span, len(row)) + n
+                if decontaminate.common_subsequence(item.tolist(), row[left:right].tolist()) >= 0.55 * n:
+                    assert (r, i) in pairs and (span, begin) in kept
+
+
 def test_common_subsequence():
     assert decontaminate.common_subsequence([1, 2, 3, 4], [9, 1, 3, 9, 4, 2]) == 3
     assert decontaminate.common_subsequence([1], []) == 0
