@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +37,8 @@ _BSD_TAIL = (
     "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
     "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
-#: Public licence texts and the usual one-line notices.
-KNOWN = (
+#: Short public licence texts and the usual one-line notices.
+_SHORT = (
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -73,7 +76,50 @@ KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 )
-#: Spellings that count as the same, between spaces.
+#: Names and files (in `licence_texts`) of whole licences, and where their appendix begins, if it may be left out.
+_FILES = (
+    ("Apache-2.0", "Apache-2.0", "   APPENDIX: How to apply"),
+    ("Artistic-1.0-Perl", "Artistic", None),
+    ("BSD-3-Clause", "BSD", None),
+    ("CC0-1.0", "CC0-1.0", None),
+    ("GFDL-1.2", "GFDL-1.2", "ADDENDUM: How to use"),
+    ("GFDL-1.3", "GFDL-1.3", "ADDENDUM: How to use"),
+    ("GPL-1.0", "GPL-1", "Appendix: How to Apply|How to Apply These Terms"),
+    ("GPL-2.0", "GPL-2", "How to Apply These Terms"),
+    ("GPL-3.0", "GPL-3", "How to Apply These Terms"),
+    ("LGPL-2.0", "LGPL-2", "How to Apply These Terms"),
+    ("LGPL-2.1", "LGPL-2.1", "How to Apply These Terms"),
+    ("LGPL-3.0", "LGPL-3", None),
+    ("MPL-1.1", "MPL-1.1", "EXHIBIT A"),
+    ("MPL-2.0", "MPL-2.0", "Exhibit A - Source Code"),
+)
+#: Titles that may stand before a short licence.
+_TITLES = {
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "Expat License", "License: MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "License: ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)", "0BSD License", "Zero Clause BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "BSD License", "Simplified BSD License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": (
+        "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "BSD License", "New BSD License",
+        "Modified BSD License", "Revised BSD License", 'BSD 3-Clause "New" or "Revised" License',
+    ),
+}
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """The files, with and without appendix, and short texts below a title."""
+    out = []
+    for name, file, appendix in _FILES:
+        text = (Path(__file__).parent / "licence_texts" / f"{file}.txt").read_text(encoding="utf-8")
+        at = [x.start() for x in re.finditer(appendix, text)] if appendix else []
+        out += [(name, x) for x in (text, text[: at[-1]] if at else text)]
+    titled = [(name, f"{title}\n\n{text}") for name, text in _SHORT if len(text) > 300 for title in _TITLES[name]]
+    return list(dict.fromkeys(out + titled))
+
+
+#: The short texts come first; then those that they do not hold.
+KNOWN = (*_SHORT, *(x for x in _whole_texts() if x not in _SHORT))
+#: Spellings that count as the same, and marks that do not count, between spaces.
 EQUIVALENT = (
     (" licence", " license"),
     (" sublicence", " sublicense"),
@@ -83,10 +129,40 @@ EQUIVALENT = (
     (" authorised", " authorized"),
     (" non commercial", " noncommercial"),
     (" favour", " favor"),
+    (" relicence", " relicense"),
+    (" unlicence", " unlicense"),
+    # List marks of the BSD licences, also where a line breaks after them; bullets are punctuation.
+    *((f" {x}{gap}redistributions", " redistributions") for x in ("1", "2", "a", "b", "i", "ii") for gap in (" ", "  \n ", "  \n  ")),
+    *((f" {x}{gap}neither", " neither") for x in ("3", "c", "iii") for gap in (" ", "  \n ", "  \n  ")),
 )
+
+
+def _other_word(words: set[str]) -> str:
+    """A pattern for the begin of any word but these, without looking ahead."""
+    first: dict[str, set[str]] = {}
+    for word in words - {""}:
+        first.setdefault(word[0], set()).add(word[1:])
+    letters = "".join(sorted(first))
+    here = "".join(chr(x) for x in range(97, 123) if chr(x) not in letters) if "" in words else rf"^{letters}\n"
+    return "(" + "|".join([f"[{here}]", *(x + _other_word(first[x]) for x in letters)]) + ")"
+
+
+def _follow(pattern: str) -> set[str]:
+    words = {x for _, text in KNOWN for x in re.findall(rf"{pattern}\s+([a-z]+)", text.lower())}
+    return words | {x.replace(b.strip(), a.strip()) for x in words for a, b in EQUIVALENT}
+
+
 # Patterns mean the same in Java and RE2.
-_COPYRIGHT_LINE = "(^|\n)[ \t]*(copyright|©|\\(c\\)|all rights reserved)([^a-z\n][^\n]*)?"
-_PUNCTUATION = "[!-/:-@\\[-`{-~ \t\r\x0b\x0c]+"
+# A copyright line has a sign, a year or a place for one, or a holder: a word that does not follow `copyright` in a licence.
+# Other lines of a licence may begin with these words where it is wrapped there.
+_SIGN = r"(©|\(c\)|[0-9<{]|\[)[^\n]*"
+_COPYRIGHT_LINE = (
+    rf"(^|\n)[ \t]*(copyright([ \t:]*{_SIGN}|[ \t:]+{_other_word(_follow('copyright') | {' ', chr(9)})}[^\n]*)|©[^\n]*"
+    rf"|\(c\)([ \t]*(©|[0-9<{{]|\[)[^\n]*|[ \t]+{_other_word((_follow('[(]c[)]') - {'copyright'}) | {' ', chr(9)})}[^\n]*)"
+    r"|all rights reserved([^a-z\n][^\n]*)?)"
+)
+#: ASCII, then no-break and other spaces, dashes, quotes, bullets and dots, marks without width.
+_PUNCTUATION = "[!-/:-@\\[-`{-~ \t\r\x0b\x0c\u00a0\u00ab\u00b7\u00bb\u00ad\u2000-\u200f\u2010-\u2027\u202f\u2030-\u205e\u2060\u25a0-\u25ff\u3000\ufeff]+"
 
 
 def canonical(text: Column) -> Column:

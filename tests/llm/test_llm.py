@@ -331,6 +331,36 @@ def test_licences(spark, odd, empty):
     assert licences.scan(odd).count() == 10 and licences.scan(empty).count() == 0
 
 
+def test_licence_files_as_they_are(spark):
+    """Whole files, usual LICENSE files with title and holder, typographic marks, bullets, and other wrapping; the same in SQL."""
+    import textwrap
+    from pathlib import Path
+
+    import duckdb
+
+    files = Path(licences.__file__).parent / "licence_texts"
+    short = {name: text for name, text in reversed(licences._SHORT) if len(text) > 300}
+    cases = [(name, (files / f"{file}.txt").read_text()) for name, file, _ in licences._FILES]
+    cases.append(("Apache-2.0", dict(cases)["Apache-2.0"].replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2021 Somebody")))
+    for holder in ("Copyright (c) 2020 Me", "Copyright Oracle and others", "(c) Jane Doe", "© 2019-2024 Jo", "Copyright <year> <holder>\nAll rights reserved."):
+        cases.append(("MIT", f"MIT License\n\n{holder}\n\n" + textwrap.fill(short["MIT"], 76)))
+    for width in range(20, 100, 4):
+        cases += [(x, "Copyright (c) 2020 Me\n\n" + textwrap.fill(short[x], width)) for x in ("MIT", "ISC", "BSD-3-Clause")]
+    quoted = short["MIT"].replace('"Software"', "\u201cSoftware\u201d").replace('"AS IS"', "\u201cAS\u00a0IS\u201d")
+    cases.append(("MIT", "The MIT License (MIT) \u2014\n" + quoted))
+    for mark in ("\u2022", "*", "-", "a"):
+        cases.append(("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright 2020, Me\n\n" + re.sub(r" ([123])\. ", lambda x: f"\n{'abc'[int(x[1]) - 1] + '.' if mark == 'a' else mark} ", short["BSD-3-Clause"])))
+    cases.append((None, "MIT License\n\nno more than its name"))
+    rows = [(i, text) for i, (_, text) in enumerate(cases)]
+    got = {x.doc_id: x for x in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wrong = [(i, want, got[i].licence) for i, (want, _) in enumerate(cases) if got[i].licence != want]
+    assert wrong == []
+    base = duckdb.connect()
+    base.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    base.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(base.execute(licences.scan_sql()).fetchall()) == sorted(tuple(x) for x in got.values())
+
+
 def test_secrets(spark, odd, empty):
     code = hashlib.sha1(b"x").hexdigest()
     texts = [f'the token = "{code}" here', f"commit {code} of it", "order 4785380592391139 of", "mail someone2.long.name@mail.example.com"]
