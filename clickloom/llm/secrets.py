@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 _VALUE = r"[A-Za-z0-9+/_=.\-]{16,}"
 #: Words that name secrets, words that name harmless codes, and common words inside codes.
 _SECRET_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private.?key|client.?key"
+#: The words before a value and its own word, between blanks: a value after a secret word and a sign, an option or `Bearer`.
+_ASSIGNED = (
+    rf"(?i)(?:(?:{_SECRET_WORDS})[A-Za-z0-9_.\-]{{0,40}}[\"'`\])]{{0,3}} ?(?:=>|:=|={{1,3}}|:)|(?:^| )--?[a-z\-]{{0,20}}(?:{_SECRET_WORDS})[a-z_\-]{{0,20}} |(?:^| )bearer ) ?"
+    r"[\"'`(\[{]{0,3}([^ ]{6,})$"
+)
+_URL_PASSWORD = r"://[^/@: ]{0,200}:([^/ ]+)@"
+# Bounded repeats, since Java's matcher goes one level deeper with each.
+_PRIVATE_KEY = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-(?!----)[^-]*+){0,200}-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----)?"
 _HARMLESS_WORDS = (
     "commit|sha-?1|sha-?256|sha-?512|md5|digest|checksum|hash|etag|uuid|guid|revision|integrity|serial|invoice|order|"
     "isbn|phone|card|account|tracking|build|version|mailto"
@@ -43,6 +51,9 @@ FEATURES = (
     "secret_near",
     "harmless_near",
     "risky_path",
+    "url_password",
+    "private_key",
+    "code_like",
 )
 
 
@@ -60,23 +71,59 @@ class SecretParams:
 def candidates(texts: DataFrame) -> DataFrame:
     """The rows of `texts` (keys, text, path) once for each candidate: place, part, value, word and its neighbours.
 
-    A candidate is a run of at least 16 code characters with a digit; `place` is the number of its
-    word, `part` its number in the word. Texts are read whole.
+    A candidate is a run of at least 16 code characters that has a digit or often changes case, a value
+    of at least 6 characters of any kind that follows a secret word and a sign, the password of an
+    address, or a private key from its header line to its end (the header alone where it has none).
+    `place` is the number of its (first) word, `part` its number in the word. Texts are read whole.
     """
     keys = [x for x in texts.columns if x != "text"]
-    words = texts.where(F.col("text").rlike("[0-9]")).withColumn("words", F.split("text", r"[ \t\r\n]+"))
+    named = F.col("text").rlike(f"(?i){_SECRET_WORDS}")
+    words = texts.where(F.col("text").rlike(f"{_VALUE}|://") | named)
+    words = words.withColumn("named", named).withColumn("words", F.split("text", r"[ \t\r\n]+"))
     numbered = F.transform("words", lambda word, i: F.struct(i.alias("place"), word.alias("word")))
-    able = F.filter(numbered, lambda x: (F.length(x["word"]) >= 16) & x["word"].rlike("[0-9]") & x["word"].rlike(_VALUE))
-    found = words.select(*keys, "words", F.explode(able).alias("c")).select(
+
+    def neighbour(place: Column, i: int) -> Column:
+        return F.coalesce(F.get("words", place + i), F.lit(""))
+
+    def able(x: Column) -> Column:
+        follows = F.concat_ws(" ", neighbour(x["place"], -2), neighbour(x["place"], -1), x["word"]).rlike(_ASSIGNED)
+        coded = (F.length(x["word"]) >= 16) & x["word"].rlike(_VALUE)
+        return coded | x["word"].rlike(_URL_PASSWORD) | F.when(F.col("named"), (F.length(x["word"]) >= 6) & follows).otherwise(False)
+
+    found = words.select(*keys, "words", F.explode(F.filter(numbered, able)).alias("c")).select(
         *keys,
         "c.place",
         "c.word",
-        *(F.coalesce(F.get("words", F.col("c.place") + i), F.lit("")).alias(n) for i, n in ((-2, "second"), (-1, "before"), (1, "after"))),
+        *(neighbour(F.col("c.place"), i).alias(n) for i, n in ((-2, "second"), (-1, "before"), (1, "after"))),
     )
-    values = found.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(f"({_VALUE})"), F.lit(1))).alias("part", "value"))
-    return values.withColumn("value", F.regexp_replace("value", r"[.=\-]+$", "")).where(
-        F.col("value").rlike("[0-9]") & (F.length("value") >= 16)
+    runs = F.transform(
+        F.regexp_extract_all("word", F.lit(f"({_VALUE})"), F.lit(1)), lambda x: F.regexp_replace(x, r"[.=\-]+$", "")
     )
+    assigned = F.regexp_extract(F.concat_ws(" ", "second", "before", "word"), _ASSIGNED, 1)
+    others = F.array(F.regexp_replace(assigned, r"[\"'`,;)\]}>]+$", ""), F.regexp_extract("word", _URL_PASSWORD, 1))
+    harmless = F.array(*(F.lit(x) for x in ("bearer", "digest", "negotiate")))
+    others = F.filter(F.array_distinct(others), lambda x: (x != "") & ~F.array_contains(harmless, F.lower(x)))
+    cased = F.regexp_count("value", F.lit("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) >= F.length("value") / 4
+    all_of = F.concat(
+        F.transform(runs, lambda x: F.struct(x.alias("value"), F.lit(True).alias("run"))),
+        F.transform(F.filter(others, lambda x: ~F.array_contains(runs, x) | (F.length(x) < 16) | ~x.rlike("[0-9]")), lambda x: F.struct(x.alias("value"), F.lit(False).alias("run"))),
+    )
+    values = found.select("*", F.posexplode(all_of).alias("part", "v")).select("*", "v.value", "v.run").drop("v")
+    values = values.where(~F.col("run") | (F.length("value") >= 16) & (F.col("value").rlike("[0-9]") | cased))
+    # A run without a digit that is also an assigned value counts once.
+    values = values.where(~(F.col("run") & ~F.col("value").rlike("[0-9]") & F.array_contains(others, F.col("value")))).drop("run")
+    blocks = texts.where(F.col("text").contains("PRIVATE KEY")).withColumn("rest", F.split("text", _PRIVATE_KEY, -1))
+    blocks = blocks.select(*keys, "text", "rest", F.posexplode(F.regexp_extract_all("text", F.lit(f"({_PRIVATE_KEY})"), F.lit(1))).alias("i", "value"))
+    all_values = F.regexp_extract_all("text", F.lit(f"({_PRIVATE_KEY})"), F.lit(1))
+    before = F.aggregate(
+        F.sequence(F.lit(0), F.col("i")),
+        F.lit(""),
+        lambda sofar, k: F.concat(sofar, F.get("rest", k), F.when(k < F.col("i"), F.get(all_values, k)).otherwise("")),
+    )
+    blocks = blocks.withColumn("place", F.size(F.split(before, r"[ \t\r\n]+")) - 1)
+    empty = F.lit("")
+    blocks = blocks.select(*keys, "place", F.col("value").alias("word"), empty.alias("second"), empty.alias("before"), empty.alias("after"), F.lit(0).alias("part"), "value")
+    return values.select(blocks.columns).unionAll(blocks)
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -114,6 +161,9 @@ def with_features(found: DataFrame) -> DataFrame:
         flag(near.rlike(_SECRET_WORDS)).alias("secret_near"),
         flag(around.rlike(f"(^|[^a-z])({_HARMLESS_WORDS})")).alias("harmless_near"),
         flag(F.lower("path").rlike("(^|[/_.-])(env|config|settings|credentials|deploy|secrets?)([/_.-]|$)")).alias("risky_path"),
+        flag(lead.rlike("://[^/@:]*:$")).alias("url_password"),
+        flag(value.startswith("-----BEGIN")).alias("private_key"),
+        flag(value.rlike(r"[(){}\[\]$<>]|^(?i:null|none|true|false|string|undefined)$|^[a-z]+[._][a-z]")).alias("code_like"),
     )
 
 
@@ -131,6 +181,14 @@ def labelled_findings(spark: SparkSession, rows: int) -> DataFrame:
     harmless = pick("commit|sha256|md5|digest|checksum|etag|uuid|revision|build|integrity", 3)
     sign = pick(" = |=|: |:| = \"|=\"|: '", 4)
     word = pick("getUserAccountAddress|configUpdateService|indexMainPageView|createClientModelList|deleteItemDataFile", 5)
+    # 8 to 15 characters of any kind, and letters only.
+    size = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(8)).cast("int") + 8
+    short = F.concat(F.substring(mixed, 1, 3), pick("!|@|#|$|&|%|^|*|-|_|7|x", 10), F.substring(mixed, F.lit(5), size - 5), pick("3|&9|!|Q|#1|z4", 11))
+    plain_value = pick("required|string|process.env.TOKEN|getPassword()|${DB_PASSWORD}|undefined|changeme|example|<password>|self.secret|optional|os.environ['KEY']|config.get('x')|********|invalid|missing|password|incorrect", 12)
+
+    def letters(n: int) -> Column:
+        return F.substring(F.translate(F.concat(mixed, F.base64(F.col("id").cast("string").cast("binary"))), "0123456789+/=", "qWeRtYuIoPaSd"), 1, n)
+
     kinds = (
         (1, F.concat(plain, F.lit(" "), secret, sign, F.substring(code, 1, 40))),
         (1, F.concat(plain, F.lit(" "), secret, sign, F.substring(code, 1, 32))),
@@ -139,6 +197,21 @@ def labelled_findings(spark: SparkSession, rows: int) -> DataFrame:
         (1, F.concat(plain, F.lit(" Authorization: Bearer "), mixed)),
         (1, F.concat(plain, F.lit(" AKIA"), F.upper(F.substring(F.regexp_replace(mixed, "[^A-Za-z0-9]", "Q"), 1, 16)), F.lit(" key"))),
         (1, F.concat(secret, F.lit(" ghp_"), F.regexp_replace(F.substring(mixed, 1, 36), "[^A-Za-z0-9]", "x"))),
+        (1, F.concat(plain, F.lit(" "), secret, sign, short)),
+        (1, F.concat(secret, sign, short)),
+        (1, F.concat(secret, sign, F.substring(code, 1, 8), F.lit("!"))),
+        (1, F.concat(secret, sign, letters(20))),
+        (1, F.concat(plain, F.lit(" "), letters(32))),
+        (1, F.concat(plain, F.lit(" postgres://app:"), short, F.lit("@db.internal:5432/main"))),
+        (1, F.concat(plain, F.lit(" https://deploy:"), letters(9), F.lit("@git.internal/x"))),
+        (1, F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), mixed, F.lit("\n-----END RSA PRIVATE KEY-----"))),
+        (1, F.concat(plain, F.lit(" -----BEGIN PRIVATE KEY----- "), plain)),
+        (1, F.concat(plain, F.lit("\n-----BEGIN EC PRIVATE KEY-----\n"), mixed)),
+        (0, F.concat(secret, sign, plain_value)),
+        (0, F.concat(secret, sign, plain_value, F.lit(";"))),
+        (0, F.concat(secret, F.lit(": "), plain_value, F.lit(" "), plain)),
+        (0, F.concat(pick("author|authority|secretary|Authors|tokens", 8), F.lit(": "), pick("Jonathan|Elisabeth|Maria-Theresia|several|Department|O'Connor|described|general", 9))),
+        (0, F.concat(plain, F.lit(" "), word, F.lit("FromTheIndexOfPages "), plain)),
         (0, F.concat(harmless, sign, F.substring(code, 1, 40))),
         (0, F.concat(plain, F.lit(" "), harmless, F.lit(" "), code)),
         (0, F.concat(harmless, F.lit(" "), F.concat_ws("-", *(F.substring(code, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))))),
@@ -169,7 +242,11 @@ def train(labelled: DataFrame, params: SecretParams = SecretParams()) -> RandomF
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", numTrees=params.trees, maxDepth=params.depth, seed=params.seed
     )
-    return forest.fit(rows.select(F.col("label").cast("double"), "features"))
+    rows = rows.select(F.col("label").cast("double"), "features").persist()  # the fit reads them several times
+    try:
+        return forest.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def _scored(docs: DataFrame, model: RandomForestClassificationModel, params: SecretParams) -> DataFrame:
