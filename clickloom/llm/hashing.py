@@ -1,7 +1,8 @@
 """Word hashes of whole Arrow text columns: numpy over the UTF-8 buffer, no Python string per word.
 
-A word is a maximal run of bytes other than space and 0x09-0x0D. Hashes are polynomials modulo
-2**64 over the bytes, read off prefix sums, so one pass over the buffer serves every word.
+A word is a maximal run of bytes other than space and 0x09-0x0D. Its hash sums the mixed blocks of eight
+bytes, each with a drawn value of its place, so no arrangement of equal blocks cancels out; windows mix
+halves with halves. One pass over the buffer serves every word.
 """
 
 from __future__ import annotations
@@ -12,9 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_MASK = (1 << 64) - 1
-#: Odd multipliers of the two independent hash families (first for bytes, then for words).
-BASES = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))
+#: Seeds of the two independent hash families.
+SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,28 +26,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-class Powers:
-    """base**i and base**-i modulo 2**64, grown on demand."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse_base = base, pow(base, -1, 1 << 64)
-        self.up, self.down = np.ones(1, U64), np.ones(1, U64)
-
-    def reach(self, n: int) -> None:
-        while len(self.up) < n:
-            k = len(self.up)
-            self.up = np.concatenate([self.up, self.up * U64(pow(self.base, k, 1 << 64))])
-            self.down = np.concatenate([self.down, self.down * U64(pow(self.inverse_base, k, 1 << 64))])
-
-    def runs(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of values[start:end] for every pair."""
-        self.reach(len(values) + 1)
-        sums = np.zeros(len(values) + 1, U64)
-        np.cumsum(values * self.up[: len(values)], out=sums[1:])
-        return (sums[ends] - sums[starts]) * self.down[starts]
-
-
-_POWERS = {base: Powers(base) for pair in BASES for base in pair}
+def _drawn(seed: int, first: int, last: int) -> np.ndarray:
+    """Pseudo-random 64-bit values number `first` to `last` of a seed."""
+    return mix(mix(np.arange(first, last, dtype=U64) * U64(0xD1342543DE82EF95) + U64(seed)) + U64(seed))
 
 
 def slices(column: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -100,14 +81,52 @@ def words(
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+#: Words of more blocks are hashed one by one; the others so many at once.
+_BLOCKS, _AT_ONCE = 8, 1 << 14
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
-    values = raw.astype(U64) + U64(1)
-    return mix(_POWERS[BASES[family][0]].runs(values, starts, ends))
+    """Hash of the bytes of every word."""
+    if not len(starts):
+        return np.zeros(0, U64)
+    sizes, seed = ends - starts, SEEDS[family]
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    # The eight bytes from every place of the buffer on.
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+
+    def blocks(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        return eight[at] & (~U64(0) >> ((8 - np.minimum(left, 8)) * 8).astype(U64))
+
+    total, places = np.zeros(len(starts), U64), _drawn(seed, 0, _BLOCKS)
+    for part in range(0, len(starts), _AT_ONCE):
+        here = slice(part, part + _AT_ONCE)
+        at, left, sums = starts[here], sizes[here], total[here]
+        sums += mix(blocks(at, left) + places[0])
+        for k in range(1, _BLOCKS):
+            rows = np.flatnonzero(left > 8 * k)
+            if not len(rows):
+                break
+            sums[rows] += mix(blocks(at[rows] + 8 * k, left[rows] - 8 * k) + places[k])
+    for row in np.flatnonzero(sizes > 8 * _BLOCKS):
+        later = np.arange(8 * _BLOCKS, sizes[row], 8)
+        drawn = _drawn(seed, _BLOCKS, _BLOCKS + len(later))
+        total[row : row + 1] += mix(blocks(starts[row] + later, sizes[row] - later) + drawn).sum(dtype=U64)
+    return mix(total + sizes.astype(U64))
 
 
 def window_hashes(hashes: np.ndarray, firsts: np.ndarray, size: int, family: int = 0) -> np.ndarray:
-    """Hash of `size` consecutive word hashes from each position in `firsts`."""
-    return mix(_POWERS[BASES[family][1]].runs(hashes, firsts, firsts + size))
+    """Hash of `size` consecutive word hashes from each position in `firsts`, put together from runs of 1, 2, 4, ... words."""
+    first, second = (U64(x | 1) for x in _drawn(SEEDS[family], 1 << 41, (1 << 41) + 2).tolist())
+    run, length, found, done = hashes, 1, None, 0
+    while True:
+        if size & length:
+            part = run[firsts + done]
+            found = part if found is None else mix(found * first + part * second)
+            done += length
+        if done == size:
+            return mix(found + U64(size))
+        run = mix(run[:-length] * first + run[length:] * second)
+        length *= 2
 
 
 def window_firsts(row_words: np.ndarray, size: int) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,14 +21,16 @@ _PACKED = f"{_PIECES}, sequence_id long, offset long"
 
 @dataclass(frozen=True)
 class PackParams:
-    """`capacity` tokens a sequence. `ranks`: the vocabulary as a rank file, `pattern`: how it splits
-    text; `end`: the id that closes a document. About `pieces_at_once` pieces are packed together;
-    bins filled below `full` of the capacity are packed again with those of other groups. The local
-    search makes at most `moves` changes for each bin it is given.
+    """`capacity` tokens a sequence. `ranks`: the vocabulary as a rank file (read by the driver, about
+    1 MB, and sent with the job), `pattern`: how it splits text, `added`: tokens found in a text as a
+    whole before that, with their ids; `end`: the id that closes a document. About `pieces_at_once`
+    pieces are packed together; bins filled below `full` of the capacity are packed again with those
+    of other groups. The local search makes at most `moves` changes for each bin it is given.
     """
 
     ranks: str
     pattern: str
+    added: tuple[tuple[str, int], ...] = ()
     capacity: int = 2048
     end: int = 0
     pieces_at_once: int = 20_000
@@ -36,33 +39,38 @@ class PackParams:
 
 
 def default_params() -> PackParams:
-    """The 50k byte-level vocabulary: its rank file gives the same ids as its JSON file, five times as fast."""
+    """The 50k byte-level vocabulary: rank file and added tokens give the ids of its JSON file, five times as fast."""
     import public_tokenizers
 
-    return PackParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = tuple((x["content"], x["id"]) for x in json.load(file)["added_tokens"])
+    return PackParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added)
 
 
-def load_encoding(params: PackParams):
+def load_encoding(ranks: bytes, params: PackParams):
+    """The encoding of a rank file's content."""
     import base64
 
     import tiktoken
 
-    with open(params.ranks, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=params.pattern, mergeable_ranks=ranks, special_tokens={})
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=params.pattern, mergeable_ranks=table, special_tokens=dict(params.added))
 
 
 def pieces(docs: DataFrame, params: PackParams) -> DataFrame:
     """Documents as ids and an end id, cut only where longer than the capacity; the first piece is the short one."""
 
+    with open(params.ranks, "rb") as file:
+        content = file.read()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = load_encoding(params)
+        encoding = load_encoding(content, params)
         for batch in batches:
             ids_of, texts = batch.column(0), pc.fill_null(batch.column(1), "")
             rows: list[tuple] = []
             where = []
             for i in range(batch.num_rows):
-                ids = np.array([*encoding.encode_ordinary(texts[i].as_py()), params.end], "<u4")
+                ids = np.array([*encoding.encode(texts[i].as_py(), allowed_special="all"), params.end], "<u4")
                 first = len(ids) % params.capacity or min(len(ids), params.capacity)
                 cuts = [0, *range(first, len(ids) + 1, params.capacity)]
                 for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -101,73 +109,108 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+class _OpenBins:
+    """Bins by their room, and their items by the space that would be there without them."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.bins, self.lengths, self.capacity = bins, lengths, capacity
+        self.fill = [sum(lengths[i] for i in x) for x in bins]
+        self.at: dict[int, int] = {}
+        self.by_room: list[set[int]] = [set() for _ in range(capacity + 1)]
+        self.by_space: list[dict[int, set[int]]] = [{} for _ in range(capacity + 1)]
+        self.rooms = self.spaces = 0  # bit n: by_room[n], by_space[n] hold something
+
+    def add(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        self.by_room[room].add(b)
+        self.rooms |= 1 << room
+        for i in self.bins[b]:
+            self.at[i], space = b, room + self.lengths[i]
+            self.by_space[space].setdefault(self.lengths[i], set()).add(i)
+            self.spaces |= 1 << space
+
+    def take(self, b: int) -> None:
+        room = self.capacity - self.fill[b]
+        self.by_room[room].discard(b)
+        if not self.by_room[room]:
+            self.rooms &= ~(1 << room)
+        for i in self.bins[b]:
+            space, n = room + self.lengths[i], self.lengths[i]
+            same = self.by_space[space][n]
+            same.discard(i)
+            if not same:
+                del self.by_space[space][n]
+                if not self.by_space[space]:
+                    self.spaces &= ~(1 << space)
+
+    def fullest(self, n: int) -> int | None:
+        """The fullest bin that holds `n` more."""
+        fitting = self.rooms >> n
+        return min(self.by_room[n + (fitting & -fitting).bit_length() - 1]) if fitting else None
+
+    def partner(self, n: int, low: int) -> int | None:
+        """The shortest item that leaves room for `n` in its bin, which `n` then fills best, if that raises the sum of squares."""
+        fitting = self.spaces >> n
+        while fitting:
+            step = (fitting & -fitting).bit_length() - 1
+            small = min(self.by_space[n + step])
+            # The bin's fill becomes capacity - step; `low` gives n and gets the item.
+            if small < n and self.capacity - step > self.fill[low] - n + small:
+                return min(self.by_space[n + step][small])
+            fitting &= fitting - 1
+        return None
+
+
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int, moves: int) -> list[list[int]]:
     """Move one document, or exchange one for one or two for one, between underfull bins.
 
     A change counts if it raises the sum of squared fills, which empties the lesser bin step by step.
-    The least filled bin is worked on until nothing helps it; then it is set aside.
+    The least filled bin is worked on until nothing helps it; then it is set aside. Every other bin
+    that is not full, every document of it and every pair of the bin worked on can take part.
     """
-    fill = [sum(lengths[i] for i in x) for x in bins]
-    open_bins = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: fill[b])
-    budget = moves * len(open_bins)
-    def shift(item: int, source: int, target: int) -> None:
-        bins[source].remove(item)
-        bins[target].append(item)
-        fill[source] -= lengths[item]
-        fill[target] += lengths[item]
-
-    by_room: dict[int, set[int]] = {}
-    for b in open_bins:
-        by_room.setdefault(capacity - fill[b], set()).add(b)
-
-    def refill(b: int, change) -> None:
-        by_room[capacity - fill[b]].discard(b)
-        change()
-        by_room.setdefault(capacity - fill[b], set()).add(b)
-
-    for low in open_bins:
-        by_room[capacity - fill[low]].discard(low)
-        improved = True
-        while improved and bins[low] and budget > 0:
-            improved = False
-            for item in sorted(bins[low], key=lambda i: (-lengths[i], i)):
-                n = lengths[item]
-                # Move: the fullest bin that holds it.
-                room = min((r for r, x in by_room.items() if x and r >= n), default=None)
-                if room is not None:
-                    target = min(by_room[room])
-                    refill(target, lambda t=target, i=item: shift(i, low, t))
-                    budget, improved = budget - 1, True
-                    break
-            if improved:
-                continue
-            ordered = sorted(bins[low], key=lambda i: (-lengths[i], i))
-            groups = [(i,) for i in ordered]
-            groups += [(i, j) for x, i in enumerate(ordered[:8]) for j in ordered[x + 1 : 9]]
-            rooms = sorted(r for r, x in by_room.items() if x and r > 0)[-64:]
-            for group in groups:
-                n = sum(lengths[i] for i in group)
-                for room in rooms:
-                    # Exchange for a shorter document of a bin that this fills up, or nearly.
-                    for target in sorted(by_room[room])[:4]:
-                        small = min((lengths[i] for i in bins[target] if n - room <= lengths[i] < n), default=n)
-                        if small == n or fill[target] + n - small <= fill[low] - n + small:
-                            continue
-                        budget -= 1
-                        other = min(i for i in bins[target] if lengths[i] == small)
-
-                        def change(t=target, g=group, o=other):
-                            shift(o, t, low)
-                            for i in g:
-                                shift(i, low, t)
-
-                        refill(target, change)
-                        improved = True
-                        break
-                    if improved:
-                        break
-                if improved:
-                    break
+    pool = _OpenBins(bins, lengths, capacity)
+    order = sorted((b for b in range(len(bins)) if pool.fill[b] < capacity), key=lambda b: pool.fill[b])
+    for b in order:
+        pool.add(b)
+
+    def shift(items: tuple[int, ...], source: int, target: int) -> None:
+        for i in items:
+            bins[source].remove(i)
+            bins[target].append(i)
+            pool.fill[source] -= lengths[i]
+            pool.fill[target] += lengths[i]
+
+    def change(low: int) -> bool:
+        items = sorted(bins[low], key=lambda i: (-lengths[i], i))
+        for i in items:
+            target = pool.fullest(lengths[i])
+            if target is not None:
+                pool.take(target)
+                shift((i,), low, target)
+                pool.add(target)
+                return True
+        groups = {lengths[i]: (i,) for i in reversed(items)}
+        for x, i in enumerate(items):
+            for j in items[x + 1 :]:
+                if lengths[i] + lengths[j] <= capacity:
+                    groups.setdefault(lengths[i] + lengths[j], (i, j))
+        for n in sorted(groups, reverse=True):
+            other = pool.partner(n, low)
+            if other is not None:
+                target = pool.at[other]
+                pool.take(target)
+                shift((other,), target, low)
+                shift(groups[n], low, target)
+                pool.add(target)
+                return True
+        return False
+
+    budget = moves * len(order)
+    for low in order:
+        pool.take(low)
+        while bins[low] and budget > 0 and change(low):
+            budget -= 1
+        # Set aside: what it holds now stays, as a bin that nothing else enters.
     return [x for x in bins if x]
 
 

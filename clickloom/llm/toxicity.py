@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.hashing import BASES, U64, Powers, letter_gaps, mix, slices, words
+from clickloom.llm.hashing import U64, letter_gaps, mix, slices, word_hashes, words
 from clickloom.llm.language_id import crc_remainder
 
 #: A general lexicon of insults and threats, one voter a line.
@@ -50,16 +50,11 @@ _PREFIXES = (4, 5, 6, 7, 8, 9, 11, 13)
 
 def _features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows and hashes of words and of their beginnings (once a row each for distinct words of a slice)."""
-    powers = Powers(BASES[0][0])
     starts, ends, row_words = words(raw, offsets, letter_gaps(raw))
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(row_words))
-    values = raw.astype(U64) + U64(1)
-    powers.reach(len(values) + 1)
-    sums = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * powers.up[: len(values)], out=sums[1:])
 
     def hashed(begin: np.ndarray, end: np.ndarray, kind: int) -> np.ndarray:
-        return mix((sums[end] - sums[begin]) * powers.down[begin] + U64(kind))
+        return mix(word_hashes(raw, begin, end) + U64(kind))
 
     whole = hashed(starts, ends, 0)
     _, kept = np.unique(mix(whole + rows.astype(U64) * U64(0xD1342543DE82EF95)), return_index=True)

@@ -10,6 +10,7 @@ import pytest
 
 from clickloom.llm import (
     decontaminate,
+    hashing,
     language_id,
     licences,
     near_dedup,
@@ -179,7 +180,6 @@ def test_packing(spark, odd, empty):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     got = packing.pack(docs).collect()
     by_doc = {}
     for x in got:
@@ -196,6 +196,57 @@ def test_packing(spark, odd, empty):
     assert sum(x.piece == 0 for x in rows) == 10 and packing.pack(empty).count() == 0
 
 
+def test_packing_finds_added_tokens_as_the_tokenizer_does(spark):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    texts = ["a<|endoftext|>b", "<|endoftext|>  <|endoftext|>", "<|endof text|> I'LL  \n\n a", "\x00\x1c a\x85b"]
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for x in got:
+        ids = np.array([*model.encode(texts[x.doc_id], add_special_tokens=False).ids, 0], "<u4")
+        assert (x.length, x.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_exchanges_reach_every_bin_and_pair():
+    # Nothing moves; the two middle ones of eleven documents, put in for the 60 of the last bin, nearly fill it.
+    low = [32, 3, 3, 2, 31, 3, 3, 3, 3, 3, 3]
+    others = [[50, 50] for _ in range(80)] + [[37, 62]]
+    lengths = low + [n for x in others for n in x]
+    bins, at = [list(range(len(low)))], len(low)
+    for x in others:
+        bins.append(list(range(at, at + len(x))))
+        at += len(x)
+    out = packing.local_search([list(x) for x in bins], lengths, 100, 60)
+    assert sorted(i for x in out for i in x) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in x) <= 100 for x in out)
+    assert sorted(sum(lengths[i] for i in x) for x in out)[:2] == [88, 100]
+
+
+def thue_morse(n):
+    """A word of n letters and its complement, which agree under every polynomial modulo a power of two."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: 98, 98: 97})
+    return word[:n], word[:n].translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_of_equal_letters_in_another_order_differ(spark, n):
+    first, second = thue_morse(n)
+    raw = np.frombuffer(f"{first} {second}".encode(), np.uint8)
+    starts, ends, _ = hashing.words(raw, np.array([0, len(raw)]))
+    for family in (0, 1):
+        assert len(set(hashing.word_hashes(raw, starts, ends, family).tolist())) == 2
+    common = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{common} {first}"), (2, f"{common} {second}"), (3, f"{first} z"), (4, f"{second} z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.n_removed for x in substring_dedup.remove_repeats(frame).collect()} == {0}
+    got = near_dedup.near_duplicates(frame.where("doc_id > 2"), near_dedup.NearDedupParams(shingle_words=2))
+    assert {x.doc_id: x.component_id for x in got.collect()} == {3: 3, 4: 4}
+
+
 def assert_gapless(rows):
     bins = {}
     for x in rows:
