@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
+    byte_bpe,
+    conversations,
     decontaminate,
     language_id,
     licences,
@@ -18,6 +20,7 @@ from clickloom.llm import (
     toxicity,
     vp_search,
     warc,
+    whitening,
 )
 
 
@@ -68,6 +71,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), near_dedup.NearDedupParams(shingle_words=2))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.round_trip(_table(spark, sf_dir, "documents")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,6 +103,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_licence_scan,
             op9_secret_scan,
             op10_near_dedup,
+            op11_byte_bpe,
+            op12_whitening,
+            op13_conversation_repair,
             pipeline,
         )
     }
