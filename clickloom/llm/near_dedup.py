@@ -33,10 +33,6 @@ class NearDedupParams:
     miss: float = 1e-9
 
 
-#: Members on one side of a cell when components of one bucket are compared.
-_CELL = 512
-
-
 def least_matches(params: NearDedupParams) -> list[tuple[int, int]]:
     """(values compared, fewest matches to go on): uniform prior, so the posterior is Beta(m+1, n-m+1).
 
@@ -76,6 +72,16 @@ def _shingles(raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray,
     return found[kept], np.searchsorted(rows[kept], np.arange(len(counts) + 1))
 
 
+def _set_keys(found: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """128-bit fingerprint of every row's shingle set, as two words; zero for an empty one."""
+    full = np.flatnonzero(np.diff(at))
+    keys = np.zeros((len(at) - 1, 2), U64)
+    if len(full):
+        keys[full, 0] = np.add.reduceat(mix(found + U64(0x632BE59BD9B4E019)), at[full])
+        keys[full, 1] = np.add.reduceat(mix(found ^ U64(0xE220A8397B1DCDAF)), at[full])
+    return keys
+
+
 def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     seeds = mix(np.arange(1, 2 * n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
     return (seeds[:n] >> U64(32)).astype(np.uint32) | np.uint32(1), (seeds[n:] >> U64(32)).astype(np.uint32)
@@ -93,13 +99,11 @@ def sketches(docs: DataFrame, params: NearDedupParams) -> DataFrame:
                 n = np.diff(at)
                 full = np.flatnonzero(n)
                 signature = np.zeros((len(n), width), np.uint32)
-                keys = np.zeros((len(n), 2), U64)
+                keys = _set_keys(found, at)
                 if len(full):
                     base, begin = (found >> U64(32)).astype(np.uint32), at[full]
                     for i in range(width):
                         signature[full, i] = np.minimum.reduceat(base * a[i] + b[i], begin)
-                    keys[full, 0] = np.add.reduceat(mix(found + U64(0x632BE59BD9B4E019)), begin)
-                    keys[full, 1] = np.add.reduceat(mix(found ^ U64(0xE220A8397B1DCDAF)), begin)
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(first, last - first).cast(pa.int64()),
@@ -114,19 +118,17 @@ def sketches(docs: DataFrame, params: NearDedupParams) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, params: NearDedupParams) -> DataFrame:
-    """id, shingles (sorted 64-bit hashes of the full set)."""
+    """set_key, shingles (sorted 64-bit hashes of the full set) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, raw, offsets in slices(batch.column(1)):
+            for _, _, raw, offsets in slices(batch.column(0)):
                 found, at = _shingles(raw, offsets, params.shingle_words)
                 sets = [np.sort(found[i:j]).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
-                yield pa.record_batch(
-                    [batch.column(0).slice(first, last - first).cast(pa.int64()), pa.array(sets, pa.binary())],
-                    ["id", "shingles"],
-                )
+                keys = [x.tobytes() for x in _set_keys(found, at)]
+                yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["set_key", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles binary")
+    return docs.select("text").mapInArrow(run, "set_key binary, shingles binary")
 
 
 def band_rows(classes: DataFrame, params: NearDedupParams) -> DataFrame:
@@ -193,84 +195,86 @@ def _links(survivors: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _across(placed: DataFrame, heads: DataFrame, sets: DataFrame, params: NearDedupParams) -> DataFrame:
-    """Links (a, b) between different components that meet in a bucket, other than with its leader.
+def _set_members(sets: DataFrame) -> DataFrame:
+    """id, component, n, shingle: one row for every shingle of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shingles = np.frombuffer(batch.column(2)[i].as_buffer(), np.int64)
+                n = len(shingles)
+                own = [pa.array(np.full(n, batch.column(k)[i].as_py())) for k in (0, 1)]
+                yield pa.record_batch([*own, pa.array(np.full(n, n, np.int64)), pa.array(shingles)], ["id", "component", "n", "shingle"])
+
+    return sets.select("id", "component", "shingles").mapInArrow(run, "id long, component long, n long, shingle long")
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """shingle, id, component, n, place: the rarest shingles of every set that may be linked to another component.
 
-    A bucket's members outside the component of its leader meet all members of other components in
-    cells of at most about `_CELL` by `_CELL`; a cell returns confirmed links only. A pair that
-    meets in several buckets is compared in the one of its first common band.
+    All sets are put in one order: shingles that only one component has come first, then by how many
+    sets have them. Two sets of similarity s share one of their first n - ceil(s * n) + 1 shingles,
+    and a set whose share of shingles known to other components is below s is linked to none.
     """
-    steps = least_matches(params)
-    component = F.col("component")
-    main = F.max(F.when(F.col("id") == F.col("leader"), component))
-    others = F.when(F.col("id") != F.col("leader"), component)
-    mixed = placed.groupBy("bucket").agg(
-        main.alias("main"), F.min(others).alias("least"), F.max(others).alias("most"), F.count("*").alias("members")
-    )
-    apart = placed.join(mixed.where("least < most").select("bucket", "main", "members"), "bucket")
-    sizes = apart.groupBy("bucket").agg(F.count_if(component != F.col("main")).alias("outside"))
-    apart = apart.join(sizes, "bucket").where("id <> leader")
-
-    def dealt(size: str):
-        return F.ceil(F.col(size) / _CELL).cast("int")
-
-    def own(size: str):
-        return F.pmod(F.xxhash64("id"), dealt(size)).cast("int")
-
-    as_row = apart.select(
-        "bucket",
-        F.explode(F.sequence(F.lit(0), dealt("outside") - 1)).alias("i"),
-        own("members").alias("j"),
-        F.lit(0).alias("side"),
-        "id",
-        "component",
-        "main",
+    members = shared_table(_set_members(sets), "set-members")
+    across = members.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("component").alias("least"), F.max("component").alias("most"))
+    across = across.where("least < most").select("shingle", "sets")
+    known = members.join(across, "shingle").groupBy("id", "component", "n").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("known")
     )
-    as_query = apart.where(component != F.col("main")).select(
-        "bucket",
-        own("outside").alias("i"),
-        F.explode(F.sequence(F.lit(0), dealt("members") - 1)).alias("j"),
-        F.lit(1).alias("side"),
-        "id",
-        "component",
-        "main",
-    )
-    cells = as_row.union(as_query).join(heads.select("id", "signature"), "id").join(sets, "id")
-
-    def run(cell: pa.Table) -> pa.Table:
-        side, ids, comps = (cell.column(x).to_numpy() for x in ("side", "id", "component"))
-        main = cell.column("main")[0].as_py()
-        signs = np.frombuffer(b"".join(cell.column("signature").to_pylist()), np.uint32).reshape(len(ids), -1)
-        shingles = [np.frombuffer(x, U64) for x in cell.column("shingles").to_pylist()]
-        sizes = np.array([len(x) for x in shingles])
-        bands = signs.reshape(len(ids), params.bands, params.rows)
-        rows, found = np.flatnonzero(side == 0), []
-        band = _common_band(bands)
-        for q in np.flatnonzero(side == 1):
-            to = rows[(comps[rows] != comps[q]) & ((comps[rows] == main) | (ids[rows] > ids[q]))]
-            same = signs[to] == signs[q]
-            first = same.reshape(len(to), params.bands, params.rows).all(axis=2).argmax(axis=1)
-            alive = first == band
-            for n, least in steps:
-                alive &= same[:, :n].sum(axis=1) >= least
-            to = to[alive]
-            to = to[100 * np.minimum(sizes[to], sizes[q]) >= params.percent * np.maximum(sizes[to], sizes[q])]
-            if not len(to):
-                continue
-            every = np.concatenate([shingles[x] for x in to])
-            at = np.minimum(np.searchsorted(shingles[q], every), sizes[q] - 1)
-            shared = np.add.reduceat(shingles[q][at] == every, np.cumsum(sizes[to]) - sizes[to], dtype=np.int64)
-            linked = to[100 * shared >= params.percent * (sizes[to] + sizes[q] - shared)]
-            found += [(min(ids[q], ids[x]), max(ids[q], ids[x])) for x in linked]
-        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
-
-    return cells.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
-
-
-def _common_band(bands: np.ndarray) -> int:
-    """The band that all members of a bucket share: the first one where all agree, if any."""
-    agree = (bands == bands[:1]).all(axis=(0, 2))
-    return int(agree.argmax())
+    known = known.where(100 * F.size("known") >= percent * F.col("n"))
+    wanted = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1 - (F.col("n") - F.size("known"))
+    first = F.slice("known", 1, F.greatest(wanted, F.lit(0)).cast("int"))
+    rows = known.select("id", "component", "n", F.size("known").alias("shared"), F.posexplode(first).alias("i", "x"))
+    return rows.select("x.shingle", "id", "component", "n", (F.col("n") - F.col("shared") + F.col("i") + 1).alias("place"))
+
+
+def _leader_pairs(rows: DataFrame, leaders: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of every group's `leaders` most typical sets with sets of other components; the leaders' rows.
+
+    The group of a shingle holds at most what follows it in both sets: pairs that this cannot make
+    similar enough are left out, since for a linked pair their first common shingle's group keeps it.
+    """
+    order = "ORDER BY place / n, n, id"
+    ranked = rows.withColumn("rank", F.expr(f"row_number() OVER (PARTITION BY shingle {order})")).where(F.col("rank") <= leaders)
+    ranked = shared_table(ranked.drop("rank"), "leaders")
+    other = ranked.withColumnsRenamed({x: f"other_{x}" for x in ("id", "component", "n", "place")})
+    common = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")) + 1
+    able = (100 + percent) * common >= percent * (F.col("n") + F.col("other_n"))
+    met = rows.join(other, "shingle").where((F.col("component") != F.col("other_component")) & able)
+    return met.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")), ranked.select("shingle", "id")
+
+
+def _rest(labels: DataFrame, links: DataFrame, placed: DataFrame, sets: DataFrame, confirmed, percent: int) -> DataFrame:
+    """Labels once no two components that meet in a bucket can hold another link.
+
+    Rounds of stars in the groups of rare shingles: leaders are compared with all members of other
+    components and then leave their groups; each round has twice as many as the one before.
+    """
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    meeting = placed.join(mixed.select("bucket"), "bucket", "left_semi").select("id", "component").distinct()
+    rows = shared_table(prefixes(sets.join(meeting, "id"), percent), "prefixes")
+    leaders = 1
+    while True:
+        after = F.col("n") - F.col("place") + 1
+        groups = rows.groupBy("shingle").agg(
+            F.min("component").alias("least"), F.max("component").alias("most"), F.min("n").alias("shortest"), F.max(after).alias("reach")
+        )
+        groups = groups.where("least < most").select("shingle", "shortest", "reach")
+        # Who could not be similar enough even to the best partner of the group leaves it.
+        able = (100 + percent) * F.least(after, F.col("reach")) >= percent * (F.col("n") + F.col("shortest"))
+        rows = shared_table(rows.join(groups, "shingle").where(able).drop("shortest", "reach"), "open-groups")
+        if rows.isEmpty():
+            return labels
+        pairs, used = _leader_pairs(rows, leaders, percent)
+        more = shared_table(confirmed(pairs), "more-links")
+        rows = rows.join(used, ["shingle", "id"], "left_anti")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+            renamed = labels.withColumnsRenamed({"component": "new"})
+            rows = rows.join(renamed, "id", "left").withColumn("component", F.coalesce("new", "component")).drop("new")
+        leaders *= 2
 
 
 def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()) -> DataFrame:
@@ -279,45 +283,45 @@ def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()
     Words are runs without white space, A-Z lower-cased. Documents with fewer words than a shingle
     have their whole sequence as one; those without words, or with null text, have an empty set
     and no link. Equal sets form one class with the smallest doc_id; classes are linked, so copies
-    cost one row each. Rows repeating a doc_id are each returned, linked if their sets are; a null
+    cost one row each. Rows repeating a doc_id are each returned and are one document; a null
     doc_id gets a row and links to nothing. Other columns are ignored. Empty in, empty out.
 
-    Of a bucket, the smallest id is first compared with every other member, so a bucket of any size
-    gives one pair a member. Then, within buckets that hold several components, members outside
-    the component of the smallest id are compared with all members of other components: no
-    candidate link between different components is left out, and pairs inside one never appear.
+    Classes of equal sets are numbered. Of a bucket, the smallest number is first compared with every
+    other member, so a bucket of any size gives one pair a member. Then members of buckets that still
+    hold several components are compared further, in groups by their rarest shingles, until no pair of
+    them can be a link: no candidate link between components is left out, and pairs inside one never appear.
     """
     marked = shared_table(sketches(docs, params), "sketches")
     full = marked.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"))
-    classes = shared_table(classes, "classes")
-    # One id may name several rows with different sets; the signature of any serves the search.
-    heads = classes.dropDuplicates(["id"])
+    classes = full.groupBy("set_key").agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature"))
+    classes = shared_table(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
     buckets = band_rows(classes, params)
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last")
     buckets = shared_table(buckets.join(shared.select("bucket", "leader"), "bucket"), "buckets")
-    wanted = buckets.select(F.col("id").alias("doc_id")).distinct()
-    sets = shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), params)
-    sets = shared_table(sets, "shingle-sets")
+    wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "set_key", "doc")
+    # A doc_id may name several rows: only those sets count that a class is to be known by.
+    texts = docs.join(wanted.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = shingle_sets(texts, params).join(wanted.select("id", "set_key"), "set_key")
+    sets = shared_table(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingle-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return _links(_survivors(pairs.distinct(), heads, params), sets, params.percent)
+        return _links(_survivors(pairs.distinct(), classes, params), sets, params.percent)
 
     stars = buckets.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    links = shared_table(confirmed(stars), "links")
+    links = shared_table(confirmed(stars).union(_same_document(full, classes)), "links")
     labels = components(links)
 
     placed = shared_table(
         buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed-buckets"
     )
-    more = shared_table(_across(placed, heads, sets, params).distinct(), "more-links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    labels = _rest(labels, links, placed, sets, confirmed, params.percent)
 
-    member = marked.select("doc_id", "n_shingles", "set_key")
-    member = member.join(classes.select("set_key", "id"), "set_key", "left").join(labels, "id", "left")
-    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
+    found = classes.select("set_key", "id", "doc").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = found.groupBy("component").agg(F.min("doc").alias("component_id"))
+    named = found.join(least, "component").select("set_key", "component_id")
+    member = marked.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id"))
     component = F.coalesce(own, F.col("doc_id"))
     return member.select(
         "doc_id",
@@ -327,6 +331,15 @@ def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()
     )
 
 
+def _same_document(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that one doc_id has rows in."""
+    several = full.groupBy("doc_id").agg(F.min("set_key").alias("least"), F.max("set_key").alias("most")).where("least < most")
+    rows = full.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", "set_key").distinct()
+    rows = rows.join(classes.select("set_key", "id"), "set_key")
+    firsts = rows.groupBy("doc_id").agg(F.min("id").alias("a"))
+    return rows.join(firsts, "doc_id").where("a <> id").select("a", F.col("id").alias("b"))
+
+
 def drop_near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()) -> DataFrame:
     """The documents of `docs` that stay: those with the smallest doc_id of their component."""
     gone = near_duplicates(docs, params).where("NOT kept").select("doc_id").distinct()

@@ -10,7 +10,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_VALUE = r"[A-Za-z0-9+/_=.\-]{16,}"
+from clickloom.session import shared_table
+
+_CODE = r"A-Za-z0-9+/_=.\-"
+_VALUE = rf"[{_CODE}]{{16,}}"
 #: Words that name secrets, words that name harmless codes, and common words inside codes.
 _SECRET_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private.?key|client.?key"
 #: The words before a value and its own word, between blanks: a value after a secret word and a sign, an option or `Bearer`.
@@ -68,62 +71,95 @@ class SecretParams:
     seed: int = 17
 
 
+_SPACE = r"[ \t\r\n]+"
+
+
 def candidates(texts: DataFrame) -> DataFrame:
-    """The rows of `texts` (keys, text, path) once for each candidate: place, part, value, word and its neighbours.
+    """The rows of `texts` (keys, text, path) once for each candidate: place, part, at, value, word and its neighbours.
 
     A candidate is a run of at least 16 code characters that has a digit or often changes case, a value
     of at least 6 characters of any kind that follows a secret word and a sign, the password of an
     address, or a private key from its header line to its end (the header alone where it has none).
-    `place` is the number of its (first) word, `part` its number in the word. Texts are read whole.
+    Of two that overlap in a word the longer one counts. `place` is the number of its (first) word,
+    `at` its first character there, `part` its number in the word. Texts are read whole.
     """
     keys = [x for x in texts.columns if x != "text"]
     named = F.col("text").rlike(f"(?i){_SECRET_WORDS}")
     words = texts.where(F.col("text").rlike(f"{_VALUE}|://") | named)
-    words = words.withColumn("named", named).withColumn("words", F.split("text", r"[ \t\r\n]+"))
-    numbered = F.transform("words", lambda word, i: F.struct(i.alias("place"), word.alias("word")))
-
-    def neighbour(place: Column, i: int) -> Column:
-        return F.coalesce(F.get("words", place + i), F.lit(""))
+    words = words.withColumn("named", named).withColumn("words", F.split("text", _SPACE))
+    # Neighbours go into each word's own struct, so the rows made of them carry no arrays.
+    numbered = F.transform(
+        "words",
+        lambda word, i: F.struct(
+            i.alias("place"),
+            word.alias("word"),
+            *(F.coalesce(F.get("words", i + k), F.lit("")).alias(n) for k, n in ((-2, "second"), (-1, "before"), (1, "after"))),
+        ),
+    )
 
     def able(x: Column) -> Column:
-        follows = F.concat_ws(" ", neighbour(x["place"], -2), neighbour(x["place"], -1), x["word"]).rlike(_ASSIGNED)
+        follows = F.concat_ws(" ", x["second"], x["before"], x["word"]).rlike(_ASSIGNED)
         coded = (F.length(x["word"]) >= 16) & x["word"].rlike(_VALUE)
         return coded | x["word"].rlike(_URL_PASSWORD) | F.when(F.col("named"), (F.length(x["word"]) >= 6) & follows).otherwise(False)
 
-    found = words.select(*keys, "words", F.explode(F.filter(numbered, able)).alias("c")).select(
-        *keys,
-        "c.place",
-        "c.word",
-        *(neighbour(F.col("c.place"), i).alias(n) for i, n in ((-2, "second"), (-1, "before"), (1, "after"))),
+    found = words.select(*keys, F.explode(F.filter(numbered, able)).alias("c")).select(*keys, "c.*")
+    # Pieces of a word between other characters, one by one, with their first characters.
+    pieces = F.split("word", f"[^{_CODE}]")
+    ends = F.aggregate(
+        pieces,
+        F.array(F.lit(0)),
+        lambda sofar, x: F.concat(sofar, F.array(F.element_at(sofar, -1) + F.length(x) + 1)),
     )
     runs = F.transform(
-        F.regexp_extract_all("word", F.lit(f"({_VALUE})"), F.lit(1)), lambda x: F.regexp_replace(x, r"[.=\-]+$", "")
+        pieces, lambda x, i: F.struct((F.get("ends", i) + 1).alias("at"), F.regexp_replace(x, r"[.=\-]+$", "").alias("value"))
     )
-    assigned = F.regexp_extract(F.concat_ws(" ", "second", "before", "word"), _ASSIGNED, 1)
-    others = F.array(F.regexp_replace(assigned, r"[\"'`,;)\]}>]+$", ""), F.regexp_extract("word", _URL_PASSWORD, 1))
+    cased = lambda x: F.regexp_count(x, F.lit("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) >= F.length(x) / 4
+    runs = F.filter(runs, lambda x: (F.length(x["value"]) >= 16) & (x["value"].rlike("[0-9]") | cased(x["value"])))
+    captured = F.regexp_extract(F.concat_ws(" ", "second", "before", "word"), _ASSIGNED, 1)
+    begin = F.length("word") - F.length(captured) + 1
+    quote = F.substring("word", begin - 1, F.lit(1))
+    # A quoted value ends with its quote; marks after a bare one are not of it.
+    bare = F.when(quote.isin('"', "'", "`"), F.call_function("substring_index", captured, quote, F.lit(1))).otherwise(captured)
+    assigned = F.struct(begin.alias("at"), F.regexp_replace(bare, r"[\"'`,;)\]}>]+[^A-Za-z0-9]*$", "").alias("value"))
+    in_address = F.regexp_extract("word", _URL_PASSWORD, 1)
+    lead = F.regexp_extract("word", _URL_PASSWORD.replace("([^/ ]+)", "[^/ ]+").replace("://", "(://", 1).replace(":[", ":)[", 1), 1)
+    address = F.struct((F.position(F.concat(lead, in_address, F.lit("@")), F.col("word")) + F.length(lead)).alias("at"), in_address.alias("value"))
     harmless = F.array(*(F.lit(x) for x in ("bearer", "digest", "negotiate")))
-    others = F.filter(F.array_distinct(others), lambda x: (x != "") & ~F.array_contains(harmless, F.lower(x)))
-    cased = F.regexp_count("value", F.lit("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) >= F.length("value") / 4
-    all_of = F.concat(
-        F.transform(runs, lambda x: F.struct(x.alias("value"), F.lit(True).alias("run"))),
-        F.transform(F.filter(others, lambda x: ~F.array_contains(runs, x) | (F.length(x) < 16) | ~x.rlike("[0-9]")), lambda x: F.struct(x.alias("value"), F.lit(False).alias("run"))),
+    others = F.filter(
+        F.when(assigned["at"] == address["at"], F.array(assigned)).otherwise(F.array(assigned, address)),
+        lambda x: ~F.array_contains(harmless, F.lower(x["value"])) & ((F.length(x["value"]) >= 6) | (x["at"] == address["at"]) & (x["value"] != "")),
     )
-    values = found.select("*", F.posexplode(all_of).alias("part", "v")).select("*", "v.value", "v.run").drop("v")
-    values = values.where(~F.col("run") | (F.length("value") >= 16) & (F.col("value").rlike("[0-9]") | cased))
-    # A run without a digit that is also an assigned value counts once.
-    values = values.where(~(F.col("run") & ~F.col("value").rlike("[0-9]") & F.array_contains(others, F.col("value")))).drop("run")
-    blocks = texts.where(F.col("text").contains("PRIVATE KEY")).withColumn("rest", F.split("text", _PRIVATE_KEY, -1))
-    blocks = blocks.select(*keys, "text", "rest", F.posexplode(F.regexp_extract_all("text", F.lit(f"({_PRIVATE_KEY})"), F.lit(1))).alias("i", "value"))
-    all_values = F.regexp_extract_all("text", F.lit(f"({_PRIVATE_KEY})"), F.lit(1))
-    before = F.aggregate(
-        F.sequence(F.lit(0), F.col("i")),
-        F.lit(""),
-        lambda sofar, k: F.concat(sofar, F.get("rest", k), F.when(k < F.col("i"), F.get(all_values, k)).otherwise("")),
+
+    def stop(x: Column) -> Column:
+        return x["at"] + F.length(x["value"])
+
+    def within(x: Column, all_of: Column) -> Column:
+        meets = lambda y: (y["at"] < stop(x)) & (x["at"] < stop(y))
+        longer = lambda y: (F.length(y["value"]) > F.length(x["value"])) | (F.length(y["value"]) == F.length(x["value"])) & (y["at"] < x["at"])
+        return F.exists(all_of, lambda y: meets(y) & longer(y))
+
+    found = found.withColumn("ends", ends).withColumn("runs", runs).withColumn("others", others)
+    # Equal spans are one; the run's struct and the assigned one's are alike.
+    found = found.withColumn("all_of", F.array_distinct(F.concat("runs", "others")))
+    kept = F.filter("all_of", lambda x: ~within(x, F.col("all_of")))
+    near = ("place", "word", "second", "before", "after")
+    values = found.select(*keys, *near, F.posexplode(kept).alias("part", "v")).select(*keys, *near, "part", "v.at", "v.value")
+
+    blocks = texts.where(F.col("text").contains("PRIVATE KEY")).select(
+        *keys, F.split("text", _PRIVATE_KEY, -1).alias("rest"), F.regexp_extract_all("text", F.lit(f"({_PRIVATE_KEY})"), F.lit(1)).alias("all_values")
     )
-    blocks = blocks.withColumn("place", F.size(F.split(before, r"[ \t\r\n]+")) - 1)
+    # Keys neither begin nor end with white space, so the runs of it before one add up.
+    gaps = lambda x: F.transform(x, lambda y: F.regexp_count(y, F.lit(_SPACE)))
+    blocks = blocks.withColumn("gaps", F.zip_with(gaps("rest"), F.concat(F.array(F.lit(0)), gaps("all_values")), lambda x, y: x + y))
+    first = F.aggregate(F.slice("gaps", 1, F.col("i") + 1), F.lit(0), lambda a, x: a + x)
+    blocks = blocks.select(*keys, "gaps", "rest", F.posexplode("all_values").alias("i", "value"))
+    lead = F.regexp_extract(F.get("rest", F.col("i")), r"([^ \t\r\n]*)$", 1)
     empty = F.lit("")
-    blocks = blocks.select(*keys, "place", F.col("value").alias("word"), empty.alias("second"), empty.alias("before"), empty.alias("after"), F.lit(0).alias("part"), "value")
-    return values.select(blocks.columns).unionAll(blocks)
+    blocks = blocks.select(
+        *keys, first.alias("place"), F.col("value").alias("word"), empty.alias("second"), empty.alias("before"), empty.alias("after"),
+        F.lit(0).alias("part"), (F.length(lead) + 1).alias("at"), "value",
+    )
+    return values.unionByName(blocks)
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -136,7 +172,7 @@ def with_features(found: DataFrame) -> DataFrame:
     def flag(condition: Column) -> Column:
         return F.coalesce(condition, F.lit(False)).cast("double")
 
-    lead = F.left("word", F.position(value, F.col("word")) - 1)
+    lead = F.left("word", F.when(F.startswith("word", F.lit("-----BEGIN")), 0).otherwise(F.col("at") - 1))
     near = F.lower(F.concat_ws(" ", "second", "before", lead))
     around = F.concat_ws(" ", near, F.lower("after"))
     edges = r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[a-z])(?=[A-Z])"
@@ -238,7 +274,9 @@ def _vectors(found: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, params: SecretParams = SecretParams()) -> RandomForestClassificationModel:
     """A forest over the candidates of labelled findings (text, path, label 1 secret, 0 harmless; others left out)."""
-    rows = _vectors(candidates(labelled.where("label IN (0, 1)").select("text", "path", "label")))
+    # Written first: the patterns would otherwise be put into one expression with what makes the findings.
+    texts = shared_table(labelled.where("label IN (0, 1)").select("text", "path", "label"), "labelled")
+    rows = _vectors(shared_table(candidates(texts), "labelled-candidates"))
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", numTrees=params.trees, maxDepth=params.depth, seed=params.seed
     )
@@ -249,19 +287,14 @@ def train(labelled: DataFrame, params: SecretParams = SecretParams()) -> RandomF
         rows.unpersist()
 
 
-def _scored(docs: DataFrame, model: RandomForestClassificationModel, params: SecretParams) -> DataFrame:
+def _scored(docs: DataFrame, model: RandomForestClassificationModel, params: SecretParams, *keys: str) -> DataFrame:
+    """The keys, place, part, at, word, value, score, secret of every candidate of `docs` (keys, text and any path)."""
     path = F.col("path").cast("string") if "path" in docs.columns else F.lit("")
-    texts = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(path, F.lit("")).alias("path"))
-    scored = model.transform(_vectors(candidates(texts)))
+    texts = docs.select(*keys, "text", F.coalesce(path, F.lit("")).alias("path"))
+    scored = model.transform(_vectors(shared_table(candidates(texts), "candidates")))
     score = F.round(vector_to_array("probability")[1], 9)
-    return scored.select(
-        "doc_id",
-        F.col("place").cast("long"),
-        F.col("part").cast("long"),
-        "value",
-        score.alias("score"),
-        (score >= params.threshold).alias("secret"),
-    )
+    places = (F.col(x).cast("long").alias(x) for x in ("place", "part", "at"))
+    return scored.select(*keys, *places, "word", "value", score.alias("score"), (score >= params.threshold).alias("secret"))
 
 
 def _model(docs: DataFrame, labelled: DataFrame | None, params: SecretParams) -> RandomForestClassificationModel:
@@ -274,19 +307,74 @@ def find_secrets(docs: DataFrame, labelled: DataFrame | None = None, params: Sec
     Null and empty texts have none; repeated rows give repeated findings; a null doc_id stays null.
     Columns other than `text` and `path` are not looked at. An empty table gives an empty one.
     """
-    return _scored(docs, _model(docs, labelled, params), params)
+    named = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return _scored(named, _model(docs, labelled, params), params, "doc_id").drop("at", "word")
+
+
+def _without_spans(spans: Column) -> Column:
+    """The word less its spans (at, stop, put), which may overlap: what is put stands where one begins."""
+    word, empty = F.col("word"), F.lit("")
+
+    def step(done: Column, x: Column) -> Column:
+        apart = x["at"] > done["upto"]
+        kept = F.substring(word, done["upto"] + 1, F.greatest(x["at"] - 1 - done["upto"], F.lit(0)))
+        text = F.concat(done["text"], kept, F.when(apart, x["put"]).otherwise(empty))
+        return F.struct(text.alias("text"), F.greatest(x["stop"] - 1, done["upto"]).alias("upto"))
+
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("upto"))
+    return F.aggregate(F.array_sort(spans), start, step, lambda x: F.concat(x["text"], F.substring(word, x["upto"] + 1, F.length(word))))
+
+
+def _new_words(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """row, edits (place, word, joined) of every word that holds a part of a secret; `joined`: no gap before it."""
+    shown, empty = F.lit("[SECRET]"), F.lit("")
+    in_word = found.where("NOT startswith(value, '-----BEGIN')").select(
+        "row", F.col("place").cast("int").alias("place"), "word", F.col("at").cast("int").alias("at"), (F.col("at") + F.length("value")).cast("int").alias("stop"),
+        shown.alias("put"), F.lit(False).alias("joined"),
+    )
+    # A private key goes over several words: the first keeps what stands before it, the last what follows.
+    blocks = found.where("startswith(value, '-----BEGIN')").select("row", "place", "at", F.split("value", _SPACE).alias("own"))
+    blocks = blocks.join(texts.select("row", F.split("text", _SPACE).alias("words")), "row")
+    blocks = blocks.select("row", "place", "at", F.size("own").alias("n"), F.posexplode(F.zip_with("own", F.slice("words", F.col("place").cast("int") + 1, F.size("own")), lambda x, y: F.struct(x.alias("own"), y.alias("words")))).alias("i", "x"))
+    at = F.when(F.col("i") == 0, F.col("at").cast("int")).otherwise(1)
+    in_blocks = blocks.select(
+        "row", (F.col("place") + F.col("i")).cast("int").alias("place"), F.col("x.words").alias("word"), at.alias("at"), (at + F.length("x.own")).alias("stop"),
+        F.when(F.col("i") == 0, shown).otherwise(empty).alias("put"), (F.col("i") > 0).alias("joined"),
+    )
+    spans = in_word.unionAll(in_blocks).groupBy("row", "place").agg(
+        F.first("word").alias("word"), F.collect_list(F.struct("at", "stop", "put")).alias("spans"), F.bool_or("joined").alias("joined")
+    )
+    edits = spans.select("row", F.struct("place", _without_spans(F.col("spans")).alias("word"), "joined").alias("edit"))
+    return edits.groupBy("row").agg(F.collect_list("edit").alias("edits"))
 
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None, params: SecretParams = SecretParams()) -> DataFrame:
-    """`docs` with every secret replaced by [SECRET] and `n_chars` as the new text has (if there is such a column).
+    """`docs` with every secret replaced by [SECRET] where it was found, and `n_chars` as the new text has (if there is such a column).
 
-    Secrets of one document are put together by doc_id; rows with a null doc_id stay as they are.
+    Findings that overlap become one mark; all other characters stay as they are, also an equal value
+    elsewhere that is no finding. Each row is worked on alone, so doc_ids may repeat or be null.
+    Null and empty texts stay; an empty table gives an empty one.
     """
-    found = find_secrets(docs, labelled, params).where("secret AND doc_id IS NOT NULL")
-    by_doc = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("_found"))
-    joined = docs.join(by_doc, "doc_id", "left")
-    text = F.aggregate("_found", F.col("text"), lambda text, x: F.replace(text, x["value"], F.lit("[SECRET]")))
-    joined = joined.withColumn("text", F.when(F.col("_found").isNull(), F.col("text")).otherwise(text))
+    numbered = shared_table(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    path = [F.col("path").cast("string").alias("path")] if "path" in docs.columns else []
+    texts = numbered.select(F.col("_row").alias("row"), "text", *path)
+    found = shared_table(_scored(texts, _model(docs, labelled, params), params, "row").where("secret"), "secrets")
+    joined = numbered.join(_new_words(found, texts).withColumnsRenamed({"row": "_row", "edits": "_edits"}), "_row", "left")
+    # Words and edits in one order: an edit stands right after its word.
+    words = F.transform(
+        F.split("text", _SPACE), lambda x, i: F.struct(i.alias("place"), F.lit(0).alias("kind"), x.alias("word"), F.lit(False).alias("joined"))
+    )
+    edits = F.transform("_edits", lambda x: F.struct(x["place"], F.lit(1).alias("kind"), x["word"], x["joined"]))
+    gaps = F.concat(F.array(F.lit("")), F.regexp_extract_all("text", F.lit(f"({_SPACE})"), F.lit(1)))
+    edited = joined.where("_edits IS NOT NULL").withColumn("_all", F.array_sort(F.concat(words, edits))).withColumn("_gaps", gaps)
+
+    def shown(x: Column, i: Column) -> Column:
+        onward = F.get("_all", i + 1)
+        new = F.coalesce(onward["kind"] == 1, F.lit(False))
+        gap = F.when(new & onward["joined"], F.lit("")).otherwise(F.get("_gaps", x["place"]))
+        return F.when(x["kind"] == 0, F.concat(gap, F.when(new, onward["word"]).otherwise(x["word"]))).otherwise("")
+
+    edited = edited.withColumn("text", F.concat_ws("", F.transform("_all", shown)))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_found").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+        edited = edited.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return joined.where("_edits IS NULL").select(*docs.columns).unionAll(edited.select(*docs.columns))
