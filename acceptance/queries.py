@@ -18,7 +18,6 @@ from clickloom.plans.session_analysis import SessionAnalysis
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import new_folder, shared_table
 from clickloom.sinks.append import read_results, write_task
-from clickloom.sinks.batch_tables import BatchTable, distinct_rows
 from clickloom.sources import tables, testdata
 from clickloom.sources.ad_log import file_lines
 from clickloom.sources.tasks import JobParams, parse_task_params
@@ -249,34 +248,34 @@ def snk1_append(spark, sf):
 @query
 def snk2_upsert_replace(spark, sf):
     table, clicks = ad_job(spark).stat, ad_clicks(spark, sf)
-    table.write(ads.ad_totals(early_part(clicks)), 0)
-    table.write(ads.ad_totals(from_mid_month(clicks)), 1)
+    table.update(ads.ad_totals(early_part(clicks)), 0)
+    table.update(ads.ad_totals(from_mid_month(clicks)), 1)
     return as_text(table.read(spark))
 
 
 @query
 def snk3_upsert_add(spark, sf):
     table, clicks = ad_job(spark).user_clicks, ad_clicks(spark, sf)
-    table.write(ads.user_ad_counts(first_half_hour(clicks)), 0)
-    table.write(ads.user_ad_counts(later_half_hour(clicks)), 1)
-    table.write(ads.user_ad_counts(later_half_hour(clicks)), 1)  # a replay adds nothing
+    table.update(ads.user_ad_counts(first_half_hour(clicks)), 0)
+    table.update(ads.user_ad_counts(later_half_hour(clicks)), 1)
+    table.update(ads.user_ad_counts(later_half_hour(clicks)), 1)  # a replay adds nothing
     return as_text(table.read(spark))
 
 
 @query
 def snk4_delete_insert(spark, sf):
     table, clicks = ad_job(spark).province_top, ad_clicks(spark, sf)
-    table.write(ads.province_top_ads(ads.ad_totals(early_part(clicks))), 0)
-    table.write(ads.province_top_ads(ads.ad_totals(from_mid_month(clicks))), 1)
+    table.replace(ads.province_top_ads(ads.ad_totals(early_part(clicks))), 0)
+    table.replace(ads.province_top_ads(ads.ad_totals(from_mid_month(clicks))), 1)
     return as_text(table.read(spark))
 
 
 @query
 def snk5_blacklist_append(spark, sf):
     table, clicks = ad_job(spark).blacklist, ad_clicks(spark, sf)
-    table.write(seed_users(clicks), 0)
+    table.append(seed_users(clicks), 0)
     found = ads.users_to_blacklist(ads.user_ad_counts(clicks), THRESHOLD)
-    table.write(found.join(table.read(spark), "user_id", "left_anti"), 1)
+    table.append(found.join(table.read(spark), "user_id", "left_anti"), 1)
     return table.read(spark)
 
 

@@ -20,17 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickloom import schemas
 from clickloom.operators import ads
-from clickloom.sinks.batch_tables import (
-    BATCH,
-    BatchTable,
-    distinct_rows,
-    glob,
-    latest_per_key,
-    make_folder,
-    newest_group,
-    publish_batch,
-    sum_per_key,
-)
+from clickloom.sinks.dated import BATCH, AppendedTable, DatedTable, glob, make_folder, publish_batch
 
 BATCH_INTERVAL = "5 seconds"
 
@@ -48,36 +38,34 @@ class AdClickJob:
     top: int = 3
     lateness: str | None = None
     trigger: dict = field(default_factory=lambda: {"processingTime": BATCH_INTERVAL})
-    fold: int = 50
+    keep: int = 2
 
-    def _table(self, name: str, schema: str, merge) -> BatchTable:
-        return BatchTable(f"{self.root}/{name}", schema, merge, self.fold)
+    def _table(self, name: str, schema: str, *keys: str, adds: str | None = None) -> DatedTable:
+        return DatedTable(f"{self.root}/{name}", schema, keys, adds, self.keep)
 
     @property
     def clean_log(self) -> str:
         return f"{self.root}/clean_log"
 
     @property
-    def blacklist(self) -> BatchTable:
-        return self._table("ad_blacklist", schemas.AD_BLACKLIST, distinct_rows)
+    def blacklist(self) -> AppendedTable:
+        return AppendedTable(f"{self.root}/ad_blacklist", schemas.AD_BLACKLIST)
 
     @property
-    def user_clicks(self) -> BatchTable:
-        merge = sum_per_key(["date", "user_id", "ad_id"], "click_count")
-        return self._table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, merge)
+    def user_clicks(self) -> DatedTable:
+        return self._table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "date", "user_id", "ad_id", adds="click_count")
 
     @property
-    def stat(self) -> BatchTable:
-        return self._table("ad_stat", schemas.AD_STAT, latest_per_key(["date", "province", "city", "ad_id"]))
+    def stat(self) -> DatedTable:
+        return self._table("ad_stat", schemas.AD_STAT, "date", "province", "city", "ad_id")
 
     @property
-    def province_top(self) -> BatchTable:
-        return self._table("ad_province_top3", schemas.AD_PROVINCE_TOP3, newest_group(["date", "province"]))
+    def province_top(self) -> DatedTable:
+        return self._table("ad_province_top3", schemas.AD_PROVINCE_TOP3, "date", "province", "ad_id")
 
     @property
-    def trend(self) -> BatchTable:
-        merge = latest_per_key(["date", "hour", "minute", "ad_id"])
-        return self._table("ad_click_trend", schemas.AD_CLICK_TREND, merge)
+    def trend(self) -> DatedTable:
+        return self._table("ad_click_trend", schemas.AD_CLICK_TREND, "date", "hour", "minute", "ad_id")
 
     @property
     def barred_by_hand(self) -> str:
@@ -100,36 +88,23 @@ class AdClickJob:
         spark = lines.sparkSession
         known = self.blacklisted(spark, batch_id)
         clicks = ads.without_blacklisted(ads.parse_ad_log(lines), known)
-        published = publish_batch(clicks, self.clean_log, batch_id)
+        clean = publish_batch(clicks, self.clean_log, batch_id)
         publish_batch(ads.malformed_ad_log(lines), f"{self.root}/malformed-log", batch_id)
-        clean = spark.read.schema(schemas.AD_CLICK).parquet(published)
 
-        self.user_clicks.write(ads.user_ad_counts(clean), batch_id)
-        counts = self._touched(self.user_clicks, spark, batch_id, ["date", "user_id", "ad_id"])
-        barred = ads.users_to_blacklist(counts, self.threshold).join(known, "user_id", "left_anti")
-        self.blacklist.write(barred, batch_id)
+        counts = ads.user_ad_counts(clean)
+        self.user_clicks.update(counts, batch_id)
+        counted = self.user_clicks.touched(counts, batch_id)
+        barred = ads.users_to_blacklist(counted, self.threshold).join(known, "user_id", "left_anti")
+        self.blacklist.append(barred, batch_id)
 
     def totals_batch(self, totals: DataFrame, batch_id: int) -> None:
-        """One micro-batch of the second query: changed totals, then the provinces they touch."""
-        spark = totals.sparkSession
-        self.stat.write(totals, batch_id)
-        affected = self._touched(self.stat, spark, batch_id, ["date", "province"])
-        self.province_top.write(ads.province_top_ads(affected, self.top), batch_id)
-
-    @staticmethod
-    def _touched(table: BatchTable, spark: SparkSession, batch_id: int, keys: list[str]) -> DataFrame:
-        """Rows of the merged table whose keys occur in the batch.
-
-        The dates of the batch are literals, so files without any of them are skipped, and one click
-        of long ago does not bring in all days between.
-        """
-        batch = table.batch(spark, batch_id).select(*keys)
-        # As many dates as a micro-batch has.
-        days = [x["date"] for x in batch.select("date").distinct().collect()]
-        return table.read(spark, batch_id).where(F.col("date").isin(days)).join(batch, keys, "left_semi")
+        """One micro-batch of the second query: changed totals, then the top ads of the days they touch."""
+        self.stat.update(totals, batch_id)
+        written = self.stat.batch(totals.sparkSession, batch_id)
+        self.province_top.replace(ads.province_top_ads(written, self.top), batch_id)
 
     def trend_batch(self, minutes: DataFrame, batch_id: int) -> None:
-        self.trend.write(ads.click_trend(minutes), batch_id)
+        self.trend.update(ads.click_trend(minutes), batch_id)
 
     def _start(self, writer: DataStreamWriter, name: str) -> StreamingQuery:
         return (

@@ -158,7 +158,7 @@ def random_lines(rng, count, users=6):
 
 def test_stream_of_batches_with_restart(spark, feed):
     rng = random.Random(11)
-    j = job(spark, fold=2)
+    j = job(spark, keep=1)
     feed.add(*random_lines(rng, 25))
     feed.add(*random_lines(rng, 25))
     run(spark, feed, j)
