@@ -245,16 +245,21 @@ def _leader_pairs(rows: DataFrame, leaders: int, percent: int) -> tuple[DataFram
     return met.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")), ranked.select("shingle", "id")
 
 
-def _rest(labels: DataFrame, links: DataFrame, placed: DataFrame, sets: DataFrame, confirmed, percent: int) -> DataFrame:
-    """Labels once no two components that meet in a bucket can hold another link.
+#: How many times as many leaders a round has as the one before.
+_MORE_LEADERS = 16
+
+
+def _rest(placed: DataFrame, sets: DataFrame, confirmed, percent: int) -> list[DataFrame]:
+    """Tables id, component that, one after the other, rename components that further links join.
 
     Rounds of stars in the groups of rare shingles: leaders are compared with all members of other
-    components and then leave their groups; each round has twice as many as the one before.
+    components and then leave their groups, until no two components that meet in a bucket can hold
+    another link. Rounds grow by a factor, so a group of any size is done after a few.
     """
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
     meeting = placed.join(mixed.select("bucket"), "bucket", "left_semi").select("id", "component").distinct()
     rows = shared_table(prefixes(sets.join(meeting, "id"), percent), "prefixes")
-    leaders = 1
+    leaders, renamed = 1, []
     while True:
         after = F.col("n") - F.col("place") + 1
         groups = rows.groupBy("shingle").agg(
@@ -265,16 +270,24 @@ def _rest(labels: DataFrame, links: DataFrame, placed: DataFrame, sets: DataFram
         able = (100 + percent) * F.least(after, F.col("reach")) >= percent * (F.col("n") + F.col("shortest"))
         rows = shared_table(rows.join(groups, "shingle").where(able).drop("shortest", "reach"), "open-groups")
         if rows.isEmpty():
-            return labels
+            return renamed
         pairs, used = _leader_pairs(rows, leaders, percent)
         more = shared_table(confirmed(pairs), "more-links")
-        rows = rows.join(used, ["shingle", "id"], "left_anti")
         if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-            renamed = labels.withColumnsRenamed({"component": "new"})
-            rows = rows.join(renamed, "id", "left").withColumn("component", F.coalesce("new", "component")).drop("new")
-        leaders *= 2
+            # Links between components, by the members they were found by.
+            named = rows.select("id", "component").distinct()
+            links = more.join(named.withColumnsRenamed({"id": "a", "component": "c"}), "a")
+            links = links.join(named.withColumnsRenamed({"id": "b", "component": "d"}), "b")
+            renamed.append(components(links.select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()))
+            rows = _rename(rows, renamed[-1])
+        rows = rows.join(used, ["shingle", "id"], "left_anti")
+        leaders *= _MORE_LEADERS
+
+
+def _rename(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """`rows` with the new names of their components."""
+    names = names.select(F.col("id").alias("old"), F.col("component").alias("new")).withColumnRenamed("old", "component")
+    return rows.join(names, "component", "left").withColumn("component", F.coalesce("new", "component")).drop("new")
 
 
 def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()) -> DataFrame:
@@ -315,9 +328,9 @@ def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()
     placed = shared_table(
         buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed-buckets"
     )
-    labels = _rest(labels, links, placed, sets, confirmed, params.percent)
-
     found = classes.select("set_key", "id", "doc").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    for names in _rest(placed, sets, confirmed, params.percent):
+        found = _rename(found, names)
     least = found.groupBy("component").agg(F.min("doc").alias("component_id"))
     named = found.join(least, "component").select("set_key", "component_id")
     member = marked.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
