@@ -252,7 +252,13 @@ def statements() -> dict[str, str]:
         "src2_user_info": _with("SELECT * FROM user_info", "user_info"),
         "src2_product_info": _with("SELECT * FROM product_info", "product_info"),
         "src3_city_info": _with("SELECT * FROM city_info", "city_info"),
+        "src1_bucketed_rollup": _with(
+            f"SELECT {SESSION_COLUMNS}, search_keywords, click_category_ids FROM sessions", "sessions"),
         "src4_task_params": task,
+        "src4_task_variants": "SELECT task_id, " + ", ".join(
+            f"CASE WHEN task_id % 7 <> 0 THEN {x} END AS {x}" for x in (
+                "start_date", "end_date", "start_age", "end_age", "professionals", "cities", "sex", "keywords",
+                "category_ids", "target_page_flow")) + f" FROM ({task})",
         "src5_ad_log_stream": _with(
             """SELECT epoch_ms(click_time) || ' ' || province || ' ' || city || ' ' || user_id || ' ' || ad_id
                AS value FROM ad_clicks""", "ad_clicks"),
@@ -293,6 +299,14 @@ def statements() -> dict[str, str]:
             f"""SELECT {ACTION_COLUMNS} FROM actions
                 WHERE session_id IN (SELECT session_id FROM user_sessions WHERE sex = 'male' AND age BETWEEN 20 AND 45)""",
             "actions", "user_sessions"),
+        "jon2_bucketed_session_detail": _with(
+            f"""SELECT {ACTION_COLUMNS} FROM actions
+                WHERE session_id IN (SELECT session_id FROM user_sessions WHERE sex = 'male' AND age BETWEEN 20 AND 45)""",
+            "actions", "user_sessions"),
+        "jon2_detail_of_matching": _with(
+            f"""SELECT {ACTION_COLUMNS} FROM actions
+                WHERE session_id IN (SELECT session_id FROM user_sessions WHERE sex = 'male' AND age BETWEEN 20 AND 45)""",
+            "actions", "user_sessions"),
         "jon3_sample_detail": _with(
             f"SELECT {DETAIL_COLUMNS} FROM actions WHERE session_id IN (SELECT session_id FROM sample)",
             "actions", "sample", total=1000),
@@ -322,7 +336,19 @@ def statements() -> dict[str, str]:
             f"""SELECT {ACTION_COLUMNS} FROM actions
                 WHERE session_id IN (SELECT session_id FROM user_sessions WHERE sex = 'male' AND age BETWEEN 20 AND 45)""",
             "actions", "user_sessions"),
+        "jon11_sketched_join": _with(
+            """SELECT a.event_id, a.city_id, a.page_id, c.city_name, c.area FROM actions a
+               JOIN city_info c USING (city_id)""", "actions", "city_info"),
+        "jon11_sketched_anti_join": _with(
+            f"""SELECT {ACTION_COLUMNS} FROM actions
+                WHERE session_id NOT IN (SELECT session_id FROM user_sessions WHERE sex = 'male' AND age BETWEEN 20 AND 45)""",
+            "actions", "user_sessions"),
+        "jon11_frequent_keys": _with(
+            """SELECT page_id, city_id FROM actions WHERE page_id IS NOT NULL AND city_id IS NOT NULL GROUP BY page_id, city_id
+               HAVING count(*) >= 0.004 * (SELECT count(*) FROM actions WHERE page_id IS NOT NULL AND city_id IS NOT NULL)""",
+            "actions"),
         # aggregations
+        "agg2_observed_stats": _with(_stats("user_sessions"), "user_sessions"),
         "agg1_session_rollup": _with(
             f"SELECT {SESSION_COLUMNS}, search_keywords, click_category_ids FROM sessions", "sessions"),
         "agg2_session_stats": _with(_stats("user_sessions"), "user_sessions"),
@@ -343,6 +369,7 @@ def statements() -> dict[str, str]:
         "win1_area_top_products": _with(area_top, "area_full"),
         "win2_province_top_ads": _with(f"SELECT {day}, province, ad_id, click_count FROM province_ads", "province_ads"),
         "win3_top_sessions": _with("SELECT category_id, session_id, click_count FROM top_session", "top_session"),
+        "win4_bucketed_page_pairs": _with("SELECT session_id, prev_page_id, page_id FROM pairs", "pairs"),
         "win4_page_pairs": _with("SELECT session_id, prev_page_id, page_id FROM pairs", "pairs"),
         "srt1_top_categories": _with(counts + "top_category", "top_category"),
         "smp1_session_sample": _with(f"SELECT {SESSION_COLUMNS} FROM sample", "sample", total=1000),
@@ -361,6 +388,9 @@ def statements() -> dict[str, str]:
         "udf2_json_field": _with(
             "SELECT product_id, json_extract_string(extend_info, '$.product_status') AS product_status FROM product_info",
             "product_info"),
+        "udf2_variant_field": _with(
+            """SELECT product_id, CASE WHEN product_id % 7 <> 0 THEN cast(json_extract_string(extend_info, '$.product_status') AS INTEGER) END
+                      AS product_status FROM product_info""", "product_info"),
         "udf3_random_prefix": _with(
             "SELECT session_id, true AS prefix_in_range FROM actions", "actions"),
         "udf3_random_prefix_spread": _with("SELECT least(8, count(*)) AS prefixes FROM actions", "actions"),
@@ -402,6 +432,16 @@ def statements() -> dict[str, str]:
                FROM (SELECT time_bucket(INTERVAL 10 MINUTE, click_time) - to_minutes(10 * i) AS window_start, ad_id
                      FROM ad_clicks, range(6) t(i))
                GROUP BY ALL""", "ad_clicks"),
+        "str4_totals_by_state": _with(stat, "ad_stat"),
+        "str6_sliding_stream": _with(
+            """SELECT strftime(window_start, '%Y-%m-%d %H:%M') AS window_start,
+                      strftime(window_start + INTERVAL 60 MINUTE, '%Y-%m-%d %H:%M') AS window_end,
+                      ad_id, count(*) AS click_count
+               FROM (SELECT time_bucket(INTERVAL 10 MINUTE, click_time) - to_minutes(10 * i) AS window_start, ad_id
+                     FROM ad_clicks, range(6) t(i)
+                     WHERE NOT (cast(click_time AS DATE) <= DATE '2024-01-05' AND minute(click_time) < 10))
+               WHERE window_start + INTERVAL 60 MINUTE <= (SELECT max(click_time) FROM ad_clicks) - INTERVAL 2 DAY
+               GROUP BY ALL""", "ad_clicks"),
         "str7_restart_with_new_clicks": _with(
             f"SELECT {day}, province, city, ad_id, count(*) AS click_count FROM both_runs GROUP BY ALL", "both_runs"),
         "str7_restart": _with(stat, "ad_stat"),
@@ -413,5 +453,15 @@ def statements() -> dict[str, str]:
                 nullif(click_category_ids, '') AS click_category_ids FROM sample""", "sample", total=1000),
         "job_top_categories": _with(counts + "top_category", "top_category"),
         "job_top_sessions": _with("SELECT category_id, session_id, click_count FROM top_session", "top_session"),
+        "job_area_products_in_sql": _with(
+            """SELECT area, product_id, product_name, product_status, click_count, city_infos FROM (
+                   SELECT c.area, a.click_product_id AS product_id, p.product_name, count(*) AS click_count,
+                          CASE WHEN json_extract_string(any_value(p.extend_info), '$.product_status') = '0' THEN 'Self' ELSE 'Third Party' END AS product_status,
+                          array_to_string(list_sort(list(DISTINCT c.city_id || ':' || c.city_name)), ',') AS city_infos
+                   FROM actions a JOIN city_info c USING (city_id) JOIN product_info p ON p.product_id = a.click_product_id
+                   WHERE a.date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY c.area, a.click_product_id, p.product_name)
+               QUALIFY row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) <= 3""",
+            "actions", "city_info", "product_info"),
+        "job_page_conversion_in_sql": _with("SELECT position, hop, hop_count, base_count, rate FROM rates", "rates"),
         "job_page_conversion": _with("SELECT position, hop, hop_count, base_count, rate FROM rates", "rates"),
     }

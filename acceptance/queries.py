@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import text
 from clickloom.functions.numbers import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS, bucket
 from clickloom.functions.predicates import any_listed, equal_to, in_range
-from clickloom.functions.sql import register_functions
+from clickloom.functions.sql import register_functions, register_table_functions
 from clickloom.operators import ads, categories, page_flow, products, sampling, sessions, skew
 from clickloom.plans.area_products import area_top_products
 from clickloom.plans.page_conversion import page_conversion, page_conversion_row
@@ -20,7 +22,8 @@ from clickloom.session import new_folder, shared_table
 from clickloom.sinks.append import read_results, write_task
 from clickloom.sources import tables, testdata
 from clickloom.sources.ad_log import file_lines
-from clickloom.sources.tasks import JobParams, parse_task_params
+from clickloom.sources.bucketed import write_by_session
+from clickloom.sources.tasks import JobParams, parse_task_params, parse_task_variants
 from clickloom.streaming.ad_clicks import AdClickJob
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,9 +171,32 @@ def trend_job(spark: SparkSession, sf: str) -> AdClickJob:
     return job
 
 
+def by_session(spark: SparkSession, sf: str) -> DataFrame:
+    """The actions as a table bucketed by session."""
+    name = f"actions_by_session_{uuid.uuid4().hex}"
+    return write_by_session(testdata.actions(spark, sf), name, new_folder(spark, "by-session"), 8)
+
+
+def partly_unreadable(key: str, document: str) -> Column:
+    """The document, cut in the middle for every seventh key."""
+    return F.when(F.col(key) % 7 == 0, F.left(document, F.lit(9))).otherwise(F.col(document))
+
+
 # --- sources -------------------------------------------------------------------------------------
 
 
+@query
+def src1_bucketed_rollup(spark, sf):
+    rolled = sessions.session_rollup(by_session(spark, sf))
+    return session_columns(rolled, "search_keywords", "click_category_ids")
+
+
+@query
+def src4_task_variants(spark, sf):
+    tasks = testdata.tasks(spark, sf)
+    return parse_task_variants(tasks.withColumn("task_param", partly_unreadable("task_id", "task_param")))
+
+
 @query
 def src1_actions_by_date(spark, sf):
     return as_text(tables.scan_actions(testdata.actions(spark, sf), "2024-01-05", "2024-01-20"))
@@ -354,6 +380,21 @@ def jon2_session_detail(spark, sf):
     return as_text(detail)
 
 
+@query
+def jon2_bucketed_session_detail(spark, sf):
+    actions = by_session(spark, sf)
+    passing = sessions.filter_sessions(sessions.session_measures(actions), testdata.users(spark, sf), MALE_20_45)
+    detail = actions.join(passing.select("session_id"), "session_id", "left_semi")
+    return as_text(detail.select(*testdata.actions(spark, sf).columns))
+
+
+@query
+def jon2_detail_of_matching(spark, sf):
+    known = shared_table(known_sessions(spark, sf), "known-sessions")
+    wanted = F.col("age").between(20, 45) & (F.col("sex") == "male")
+    return as_text(sessions.detail_of_matching(testdata.actions(spark, sf), known, wanted))
+
+
 @query
 def jon3_sample_detail(spark, sf):
     return as_text(analysis(spark, sf, sample_size=1000).sample_detail)
@@ -412,9 +453,34 @@ def jon11_skew_semi_join(spark, sf):
     return as_text(skew.skew_join(actions, wanted, "session_id", "left_semi", share=0.001, salt_by=["event_id"]))
 
 
+@query
+def jon11_sketched_join(spark, sf):
+    left = testdata.actions(spark, sf).select("event_id", "city_id", "page_id")
+    return skew.skew_join(left, testdata.cities(spark, sf), "city_id", share=0.02, salt_by=["event_id"], sketch=True)
+
+
+@query
+def jon11_sketched_anti_join(spark, sf):
+    wanted = known_sessions(spark, sf, MALE_20_45).select("session_id")
+    actions = testdata.actions(spark, sf)
+    return as_text(skew.skew_join(actions, wanted, "session_id", "left_anti", share=0.001, salt_by=["event_id"], sketch=True))
+
+
+@query
+def jon11_frequent_keys(spark, sf):
+    return skew.frequent_keys(testdata.actions(spark, sf), ["page_id", "city_id"], 0.004)
+
+
 # --- aggregations --------------------------------------------------------------------------------
 
 
+@query
+def agg2_observed_stats(spark, sf):
+    observed, counts = sessions.observed_sessions(known_sessions(spark, sf))
+    shared_table(observed, "observed")
+    return sessions.stats_of_observed(spark, counts)
+
+
 @query
 def agg1_session_rollup(spark, sf):
     rolled = sessions.session_rollup(testdata.actions(spark, sf))
@@ -486,6 +552,11 @@ def win3_top_sessions(spark, sf):
     return categories.top_sessions(top_category_clicks(spark, sf))
 
 
+@query
+def win4_bucketed_page_pairs(spark, sf):
+    return page_flow.page_pairs(page_flow.page_steps(by_session(spark, sf), TIE_BREAK))
+
+
 @query
 def win4_page_pairs(spark, sf):
     return page_flow.page_pairs(steps(spark, sf))
@@ -551,6 +622,13 @@ def udf2_json_field(spark, sf):
     return spark.sql("SELECT product_id, json_field(extend_info, 'product_status') AS product_status FROM {p}", p=items)
 
 
+@query
+def udf2_variant_field(spark, sf):
+    products = testdata.products(spark, sf)
+    document = text.parsed_document(partly_unreadable("product_id", "extend_info"))
+    return products.select("product_id", text.variant_field(document, "$.product_status", "int").alias("product_status"))
+
+
 @query
 def udf3_random_prefix(spark, sf):
     """Random values cannot be compared, so the prefix is checked and the rest kept."""
@@ -658,6 +736,33 @@ def str6_sliding_clicks(spark, sf):
     return as_text(ads.sliding_clicks(ad_clicks(spark, sf), "60 minutes", "10 minutes"))
 
 
+@query
+def str4_totals_by_state(spark, sf):
+    """Three micro-batches, with a restart before the last."""
+    job, folder, lines = ad_job(spark), new_folder(spark, "ad-lines"), testdata.ad_log(spark, sf)
+    part = F.pmod(F.split("value", " ")[3].cast("bigint"), F.lit(3))
+    for parts in ((0, 1), (2,)):
+        for k in parts:
+            lines.where(part == k).coalesce(1).write.mode("append").text(folder)
+        clicks = ads.parse_ad_log(file_lines(spark, folder, 1))
+        job.totals_by_state(clicks).awaitTermination()
+    return as_text(job.stat.read(spark))
+
+
+@query
+def str6_sliding_stream(spark, sf):
+    """Two micro-batches; the second brings late clicks, some of them too late, and completes more windows."""
+    job, folder = dataclasses.replace(ad_job(spark), lateness="2 days"), new_folder(spark, "ad-lines")
+    lines, minute = testdata.ad_log(spark, sf), F.pmod(F.floor(F.split("value", " ")[0].cast("bigint") / 60_000), F.lit(60))
+    day = F.timestamp_millis(F.split("value", " ")[0].cast("bigint")).cast("date")
+    late = (day == F.lit("2024-01-15").cast("date")) & (minute >= 30) | (day <= F.lit("2024-01-05").cast("date")) & (minute < 10)
+    first = (day < F.lit("2024-01-16").cast("date")) & ~late
+    for part in (first, ~first):
+        lines.where(part).coalesce(1).write.mode("append").text(folder)
+        job.sliding_clicks(file_lines(spark, folder), "60 minutes", "10 minutes").awaitTermination()
+    return as_text(spark.read.parquet(job.sliding_log))
+
+
 @query
 def str7_restart_with_new_clicks(spark, sf):
     """The second run finds clicks that came after the first; users barred by the first stay out."""
@@ -697,6 +802,19 @@ def job_top_sessions(spark, sf):
     return analysis(spark, sf).top_sessions
 
 
+@query
+def job_area_products_in_sql(spark, sf):
+    register_table_functions(spark, testdata.actions(spark, sf), testdata.cities(spark, sf), testdata.products(spark, sf))
+    return spark.sql("SELECT * FROM area_top_products(DATE '2024-01-05', DATE '2024-01-20', 3)")
+
+
+@query
+def job_page_conversion_in_sql(spark, sf):
+    register_table_functions(spark, testdata.actions(spark, sf), testdata.cities(spark, sf), testdata.products(spark, sf))
+    flow = ",".join(map(str, FLOW))
+    return spark.sql(f"SELECT * FROM page_conversion('{flow}', DATE '2024-01-01', DATE '2024-01-30')")
+
+
 @query
 def job_page_conversion(spark, sf):
     return page_conversion(testdata.actions(spark, sf), JobParams(target_page_flow=FLOW), TIE_BREAK)

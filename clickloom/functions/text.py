@@ -39,6 +39,16 @@ def json_field(document: Column, field: str) -> Column:
     return F.get_json_object(document, f"$['{field}']")
 
 
+def parsed_document(document: Column) -> Column:
+    """A JSON text as a VARIANT, parsed once for all fields read of it; NULL when malformed."""
+    return F.try_parse_json(document)
+
+
+def variant_field(document: Column, path: str, kind: str = "string") -> Column:
+    """A field of a parsed document, as in `$.a.b[0]`; NULL when missing or of another kind."""
+    return F.try_variant_get(document, path, kind)
+
+
 def concat_long_string(number: Column, text: Column, separator) -> Column:
     """`number + separator + text`; a NULL prints as "null"."""
     missing = F.lit("null")

@@ -108,7 +108,8 @@ def sliding_clicks(clicks: DataFrame, length: str = "60 minutes", slide: str = "
     slots = clicks.groupBy(F.window("click_time", slide).alias("slot"), "ad_id").agg(
         F.count("*").alias("click_count")
     )
-    windows = slots.groupBy(F.window(F.col("slot.start"), length, slide).alias("window"), "ad_id")
+    # On a stream the second count takes its event time, and so its watermark, from the first one's windows.
+    windows = slots.groupBy(F.window(F.window_time("slot"), length, slide).alias("window"), "ad_id")
     return windows.agg(F.sum("click_count").alias("click_count")).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),

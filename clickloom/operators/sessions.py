@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.numbers import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS, inside, ratio
@@ -95,16 +95,48 @@ def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return filter_by_keys(actions, ids, "session_id", "left_semi")
 
 
+def detail_of_matching(actions: DataFrame, sessions: DataFrame, condition: Column) -> DataFrame:
+    """Actions of the sessions in a stored table that meet `condition`.
+
+    The condition stays above the stored table's scan, so that Spark can plant a Bloom filter of the
+    session ids (`might_contain`) into the action scan, below its shuffle, when the actions are large
+    and the matching ids few (`spark.sql.optimizer.runtime.bloomFilter.*`).
+    """
+    ids = sessions.where(condition).select("session_id")
+    return actions.join(ids, "session_id", "left_semi").select(*actions.columns)
+
+
+def _buckets() -> list[tuple[str, Column]]:
+    """Name and condition of every visit-length and step-length bucket."""
+    groups = [("visit_length", VISIT_LENGTH_BUCKETS), ("step_length", STEP_LENGTH_BUCKETS)]
+    return [(f"{m}_{label}", inside(F.col(m), low, high)) for m, buckets in groups for label, low, high in buckets]
+
+
+def bucket_counts() -> list[Column]:
+    """Aggregates: the number of sessions, and of those in every bucket."""
+    return [F.count("*").alias("session_count"), *(F.count(F.when(hit, 1)).alias(name) for name, hit in _buckets())]
+
+
+def _ratios(counts: DataFrame) -> DataFrame:
+    shares = [ratio(F.col(name), F.col("session_count")).alias(f"{name}_ratio") for name, _ in _buckets()]
+    return counts.select("session_count", *shares)
+
+
 def session_stats(sessions: DataFrame) -> DataFrame:
     """One row: session count and the share of every visit-length and step-length bucket."""
-    groups = [
-        ("visit_length", VISIT_LENGTH_BUCKETS),
-        ("step_length", STEP_LENGTH_BUCKETS),
-    ]
-    counts, ratios = [F.count("*").alias("session_count")], [F.col("session_count")]
-    for measure, buckets in groups:
-        for label, low, high in buckets:
-            name = f"{measure}_{label}"
-            counts.append(F.count(F.when(inside(F.col(measure), low, high), 1)).alias(name))
-            ratios.append(ratio(F.col(name), F.col("session_count")).alias(f"{name}_ratio"))
-    return sessions.agg(*counts).select(*ratios)
+    return _ratios(sessions.agg(*bucket_counts()))
+
+
+def observed_sessions(sessions: DataFrame) -> tuple[DataFrame, Observation]:
+    """Sessions that count themselves while an action runs over them: buckets as in `session_stats`.
+
+    The counts are those of the action's result tasks, each counted once however often it was tried.
+    """
+    observation = Observation("session-buckets")
+    return sessions.observe(observation, *bucket_counts()), observation
+
+
+def stats_of_observed(spark: SparkSession, observation: Observation) -> DataFrame:
+    """`session_stats` from what was counted; waits for the first action over the observed sessions."""
+    counts = {name: int(n) for name, n in observation.get.items()}
+    return _ratios(spark.createDataFrame([counts], ", ".join(f"{name} bigint" for name in counts)))

@@ -33,6 +33,22 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01, sample: fl
     return counts.where(F.col("row_count") >= F.lit(share) * total).select(*keys)
 
 
+def frequent_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
+    """`hot_keys` without a shuffle by key: a sketch names at most 2/share candidates, which alone are counted.
+
+    The frequent-items sketch holds every key above its share (and some below), in memory bounded by
+    the share; a second pass counts the candidates exactly, one group each and one for all the rest.
+    """
+    rows = df.select(F.struct(*keys).alias("key")).where(" AND ".join(f"key.`{k}` IS NOT NULL" for k in keys))
+    sketch = rows.stat.freqItems(["key"], max(share / 2, 1e-4))
+    candidates = shared_table(sketch.select(F.explode("key_freqItems").alias("key")).distinct(), "candidates")
+    marked = rows.join(F.broadcast(candidates.withColumn(_HOT, F.lit(True))), "key", "left")
+    counts = marked.groupBy(F.when(F.col(_HOT), F.col("key")).alias("key")).agg(F.count("*").alias("row_count"))
+    counts = shared_table(counts, "candidate-counts")
+    total = counts.agg(F.sum("row_count").alias("total")).scalar()
+    return counts.where(F.col("key").isNotNull() & (F.col("row_count") >= F.lit(share) * total)).select("key.*")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -42,17 +58,19 @@ def skew_join(
     share: float = 0.01,
     sample: float | None = None,
     salt_by: Sequence[str] | None = None,
+    sketch: bool = False,
 ) -> DataFrame:
     """Equi join that spreads the hot keys of `left` over `salts` reducers.
 
     Only hot keys are salted on the left and repeated on the right; all other rows join as usual.
     The hot-key list is written once, so both sides agree on it, and has at most 1/share rows,
-    which bounds its broadcast. Give `salt_by` a row id when `left` holds many identical rows.
+    which bounds its broadcast; `sketch` finds it by `frequent_keys`. Give `salt_by` a row id when `left` holds many identical rows.
     """
     if how not in LEFT_DRIVEN_JOINS:
         raise ValueError(f"how must be one of {LEFT_DRIVEN_JOINS}")
     keys = [on] if isinstance(on, str) else list(on)
-    hot = shared_table(hot_keys(left, keys, share, sample), "hot-keys").withColumn(_HOT, F.lit(True))
+    found = frequent_keys(left, keys, share) if sketch else hot_keys(left, keys, share, sample)
+    hot = shared_table(found, "hot-keys").withColumn(_HOT, F.lit(True))
     hot = F.broadcast(hot)
 
     salt = row_salt(salt_by or left.columns, salts)
@@ -67,13 +85,27 @@ def skew_join(
     return joined.drop(_SALT)
 
 
-def map_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
-    """Join with a table that is usually small.
+#: Largest table that `map_join` ships to every task, by the plan's own estimate.
+MOST_BROADCAST_BYTES = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a frame by the statistics of its optimised plan; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def map_join(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", most_bytes: int = MOST_BROADCAST_BYTES
+) -> DataFrame:
+    """Join with a small table that every task gets whole, so `left` is neither shuffled nor sorted.
 
-    Spark ships `right` to every task if its size, known from storage or measured at run time, is
-    below the broadcast threshold, and shuffles otherwise.
+    Raises a ValueError if the plan's statistics put `right` above `most_bytes`. They are an upper
+    bound for files and filters and a product for joins: store a joined table first.
     """
-    return left.join(right, on, how)
+    size = estimated_bytes(right)
+    if size > most_bytes:
+        raise ValueError(f"the table to ship is estimated at {size} bytes, more than {most_bytes}: use a plain join or skew_join")
+    return left.join(F.broadcast(right), on, how)
 
 
 def filter_by_keys(left: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.operators.categories import (
@@ -19,7 +19,7 @@ from clickloom.operators.categories import (
     within_categories,
 )
 from clickloom.operators.sampling import sample_sessions
-from clickloom.operators.sessions import filter_sessions, session_rollup, session_stats
+from clickloom.operators.sessions import filter_sessions, observed_sessions, session_rollup, stats_of_observed
 from clickloom.schemas import SESSION_DETAIL_COLUMNS
 from clickloom.session import shared_table
 from clickloom.sources.tables import scan_actions, typed_actions
@@ -54,10 +54,16 @@ class SessionAnalysis:
         return shared_table(session_activity(self.selected, self.params.keywords, self.params.category_ids), "activity")
 
     @cached_property
+    def _counted_sessions(self) -> tuple[DataFrame, Observation]:
+        """Passing sessions, written once, and the bucket counts gathered by that write."""
+        passing = filter_sessions(measures_from_activity(self.activity), self.users, self.params)
+        observed, observation = observed_sessions(passing)
+        return shared_table(observed, "sessions"), observation
+
+    @property
     def sessions(self) -> DataFrame:
         """Passing sessions."""
-        measured = measures_from_activity(self.activity)
-        return shared_table(filter_sessions(measured, self.users, self.params), "sessions")
+        return self._counted_sessions[0]
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -68,7 +74,9 @@ class SessionAnalysis:
 
     @cached_property
     def stats(self) -> DataFrame:
-        return session_stats(self.sessions)
+        """From the counts of the write: the stored sessions are not read again."""
+        sessions, observation = self._counted_sessions
+        return stats_of_observed(sessions.sparkSession, observation)
 
     @cached_property
     def drawn(self) -> DataFrame:
@@ -84,7 +92,9 @@ class SessionAnalysis:
 
     @cached_property
     def _drawn_actions(self) -> DataFrame:
-        return self._listed_actions.join(self.drawn, "session_id", "left_semi")
+        """From the listed actions if the top sessions were asked for as well, else by a scan of its own."""
+        asked = "top_sessions" in self.__dict__
+        return (self._listed_actions if asked else self.selected).join(self.drawn, "session_id", "left_semi")
 
     @cached_property
     def sample(self) -> DataFrame:

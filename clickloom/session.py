@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Bloom filters into scans from this size on, rather than from 10 GB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
 }
 
 
@@ -36,10 +39,16 @@ def build_session(app_name: str = "clickloom", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in `spark.checkpoint.dir`.
 
-    Where that is unset, a folder in the warehouse, which all executors share as well.
+    Where that is unset, a folder in the warehouse. A warehouse on a local disk is refused unless all
+    tasks run on the driver's machine.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR)}/_shared"
-    return configured.rstrip("/")
+    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get(WAREHOUSE_DIR)
+    if not spark.sparkContext.master.startswith("local") and warehouse.split(":", 1)[0] in ("file", warehouse):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors reach: {warehouse} may be each machine's own")
+    return f"{warehouse}/_shared".rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

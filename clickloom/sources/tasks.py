@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions.text import parsed_document, variant_field
+
 # Keys of the parameter document and the columns they become.
 PARAMETERS = {
     "startDate": "start_date",
@@ -49,6 +51,16 @@ def parse_task_params(tasks: DataFrame) -> DataFrame:
     return tasks.select("task_id", document.alias("_document")).select("task_id", *first)
 
 
+def parse_task_variants(tasks: DataFrame) -> DataFrame:
+    """`parse_task_params` by a VARIANT: a document of any other shape loses only what cannot be read of it."""
+    parsed = tasks.select("task_id", parsed_document(F.col("task_param")).alias("_document"))
+    first = [
+        F.nullif(variant_field(F.col("_document"), f"$.{key}[0]"), F.lit("")).alias(column)
+        for key, column in PARAMETERS.items()
+    ]
+    return parsed.select("task_id", *first)
+
+
 def load_job_params(tasks: DataFrame, task_id: int) -> JobParams:
     """The parameters of one task, read on the driver because they shape the plan."""
     row = parse_task_params(tasks.where(F.col("task_id") == task_id)).first()

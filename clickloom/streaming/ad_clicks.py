@@ -13,6 +13,7 @@ batch repeats the same decisions.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from clickloom import schemas
 from clickloom.operators import ads
 from clickloom.sinks.dated import BATCH, AppendedTable, DatedTable, glob, make_folder, publish_batch
+from clickloom.streaming.state import totals_by_state
 
 BATCH_INTERVAL = "5 seconds"
 
@@ -141,6 +143,26 @@ class AdClickJob:
             totals.writeStream.outputMode("update").foreachBatch(self.totals_batch), "running_totals"
         )
 
+    def totals_by_state(self, clicks: DataFrame, idle: timedelta | None = None, ttl: timedelta | None = None) -> StreamingQuery:
+        """`running_totals` by a state that a key leaves after `idle` event time or `ttl` clock time."""
+        totals = totals_by_state(clicks, idle, ttl, self.lateness or "0 seconds")
+        return self._start(totals.writeStream.outputMode("update").foreachBatch(self.totals_batch), "totals_by_state")
+
+    @property
+    def sliding_log(self) -> str:
+        return f"{self.root}/ad_sliding_clicks"
+
+    def sliding_clicks(self, lines: DataFrame, length: str = "60 minutes", slide: str = "10 seconds") -> StreamingQuery:
+        """Clicks per ad in sliding windows, each appended once when the watermark has passed its end.
+
+        Needs `lateness`: it decides when a window is complete and how late a click may come.
+        """
+        if not self.lateness:
+            raise ValueError("sliding windows end by the watermark: set lateness")
+        windows = ads.sliding_clicks(self._bounded(ads.parse_ad_log(lines)), length, slide)
+        writer = windows.writeStream.outputMode("append").format("parquet").option("path", self.sliding_log)
+        return self._start(writer, "sliding_clicks")
+
     def click_trends(self, lines: DataFrame) -> StreamingQuery:
         """Full count of every minute; the blacklist does not apply here."""
         minute = F.window("click_time", "1 minute")
