@@ -144,7 +144,12 @@ class AdClickJob:
         )
 
     def totals_by_state(self, clicks: DataFrame, idle: timedelta | None = None, ttl: timedelta | None = None) -> StreamingQuery:
-        """`running_totals` by a state that a key leaves after `idle` event time or `ttl` clock time."""
+        """`running_totals` by a state that a key leaves after `idle` event time or `ttl` clock time.
+
+        By the clock there is always another micro-batch, so `ttl` needs a trigger that goes on.
+        """
+        if ttl is not None and "processingTime" not in self.trigger:
+            raise ValueError("ttl is by the clock: give a processingTime trigger")
         totals = totals_by_state(clicks, idle, ttl, self.lateness or "0 seconds")
         return self._start(totals.writeStream.outputMode("update").foreachBatch(self.totals_batch), "totals_by_state")
 
