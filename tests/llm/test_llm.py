@@ -178,8 +178,9 @@ def test_vp_search(spark):
             got = [x.vec_id for x in sorted(found, key=lambda x: x["rank"]) if x.query_id == ids[query]]
             if factor == 1:
                 assert got == want
-            hits, total = hits + len(set(got) & set(want)), total + 10
-    assert hits >= 0.9 * total
+            else:  # the exact run's hits don't count
+                hits, total = hits + len(set(got) & set(want)), total + 10
+    assert total and hits >= 0.9 * total
 
 
 def test_vp_search_odd(spark):
