@@ -374,6 +374,12 @@ def statements() -> dict[str, str]:
         "srt1_top_categories": _with(counts + "top_category", "top_category"),
         "smp1_session_sample": _with(f"SELECT {SESSION_COLUMNS} FROM sample", "sample", total=1000),
         "smp1_session_sample_100": _with(f"SELECT {SESSION_COLUMNS} FROM sample", "sample", total=100),
+        "smp1_session_sample_of_a_day": _with(
+            f"""SELECT {SESSION_COLUMNS} FROM (
+                    SELECT *, row_number() OVER (PARTITION BY hour(start_time) ORDER BY md5('0' || session_id), session_id) AS rn,
+                           floor(cast(count(*) OVER (PARTITION BY hour(start_time)) AS DOUBLE) / cast(count(*) OVER () AS DOUBLE) * 100.0) AS quota
+                    FROM user_sessions WHERE cast(start_time AS DATE) = DATE '2024-01-10')
+                WHERE rn <= quota""", "user_sessions"),
         "smp1_session_sample_5000": _with(f"SELECT {SESSION_COLUMNS} FROM sample", "sample", total=5000),
         "set1_category_universe": _with("SELECT DISTINCT category_id FROM entries", "entries"),
         # page flow

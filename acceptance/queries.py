@@ -577,6 +577,12 @@ def smp1_session_sample_100(spark, sf):
     return session_columns(sampling.sample_sessions(stored_sessions(spark, sf)))
 
 
+@query
+def smp1_session_sample_of_a_day(spark, sf):
+    day = stored_sessions(spark, sf).where(F.to_date("start_time") == F.lit("2024-01-10").cast("date"))
+    return session_columns(sampling.sample_sessions(day))
+
+
 @query
 def smp1_session_sample_5000(spark, sf):
     return session_columns(sampling.sample_sessions(stored_sessions(spark, sf), 5000))

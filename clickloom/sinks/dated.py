@@ -47,19 +47,20 @@ class DatedTable:
         changed = changed.persist()  # a stream's micro-batch is computed once
         try:
             names = self._names()
-            earlier = self._of(changed.sparkSession, batch_id - 1, self._dates(changed)).select(*names)
+            dates = self._dates(changed)
+            earlier = self._of(changed.sparkSession, batch_id - 1, dates).select(*names)
             if self.adds:
                 rows = earlier.union(changed.select(*names)).groupBy(*self.keys).agg(F.sum(self.adds).alias(self.adds))
             else:
                 rows = earlier.join(changed.select(*self.keys), list(self.keys), "left_anti").select(*names).union(changed.select(*names))
             # Dates that the batch doesn't touch need no new version.
-            self._store(rows.join(changed.select("date").distinct(), "date", "left_semi"), batch_id)
+            self._store(rows.join(changed.select("date").distinct(), "date", "left_semi"), batch_id, dates)
         finally:
             changed.unpersist()
 
     def replace(self, rows: DataFrame, batch_id: int) -> None:
         """Put in whole dates: what `rows` has of a date is all it has from now on."""
-        self._store(rows, batch_id)
+        self._store(rows, batch_id, self._dates(rows))
 
     def touched(self, changed: DataFrame, batch_id: int) -> DataFrame:
         """The table's rows after batch `batch_id` of the dates in `changed`."""
@@ -70,23 +71,27 @@ class DatedTable:
         """What one batch has written."""
         return self._stored(spark).where(F.col(BATCH) == batch_id).select(*self._names())
 
-    def _store(self, rows: DataFrame, batch_id: int) -> None:
+    def _store(self, rows: DataFrame, batch_id: int, dates: list[str] | None) -> None:
         numbered = rows.select(*self._names(), F.lit(batch_id).cast("bigint").alias(BATCH))
         write_partitions(numbered, self.path, "date", BATCH)
-        self._tidy(rows.sparkSession, batch_id)
+        self._tidy(rows.sparkSession, batch_id, dates)
 
-    def _tidy(self, spark: SparkSession, batch_id: int) -> None:
+    def _tidy(self, spark: SparkSession, batch_id: int, dates: list[str] | None) -> None:
         """Delete what the last `keep` versions of the dates just written have replaced."""
-        written = {date for date, batch in self._versions(spark) if batch == batch_id}
-        for date in written:
-            older = sorted(batch for d, batch in self._versions(spark, date) if d == date and batch < batch_id)
-            for batch in older[: -self.keep]:
-                delete_folder(spark, f"{self.path}/date={date}/{BATCH}={batch}")
-
-    def _versions(self, spark: SparkSession, date: str = "*") -> list[tuple[str, int]]:
-        """(date, batch) of every stored partition; a partition appears whole, by a rename."""
-        found = [x.rsplit("/", 2)[1:] for x in glob(spark, f"{self.path}/date={date}/{BATCH}=*")]
-        return [(day.split("=")[1], int(batch.split("=")[1])) for day, batch in found]
+        stored: dict[str, list[int]] = {}
+        for date, batch in self._versions(spark, dates):
+            stored.setdefault(date, []).append(batch)
+        for date, batches in stored.items():
+            if batch_id in batches:
+                for batch in sorted(x for x in batches if x < batch_id)[: -self.keep]:
+                    delete_folder(spark, f"{self.path}/date={date}/{BATCH}={batch}")
+
+    def _versions(self, spark: SparkSession, dates: list[str] | None = None) -> list[tuple[str, int]]:
+        """(date, batch) of the stored partitions, of some dates or all; a partition appears whole, by a rename."""
+        some = "*" if dates is None else "{" + ",".join(dates) + "}"
+        found = [] if dates == [] else glob(spark, f"{self.path}/date={some}/{BATCH}=*")
+        parts = [x.rsplit("/", 2)[1:] for x in found]
+        return [(day.split("=")[1], int(batch.split("=")[1])) for day, batch in parts]
 
     def _dates(self, changed: DataFrame) -> list[str] | None:
         """The dates of a batch, or None where they are too many to name."""
@@ -95,8 +100,8 @@ class DatedTable:
 
     def _of(self, spark: SparkSession, upto: int | None, dates: list[str] | None = None) -> DataFrame:
         newest: dict[str, int] = {}
-        for date, batch in self._versions(spark):
-            if (upto is None or batch <= upto) and (dates is None or date in dates):
+        for date, batch in self._versions(spark, dates):
+            if upto is None or batch <= upto:
                 newest[date] = max(batch, newest.get(date, -1))
         if not newest:
             return spark.createDataFrame([], self._fields())
