@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import ranking, skew
+from clickloom.session import shared_table
 
 
 @pytest.fixture(scope="module")
@@ -64,16 +65,19 @@ def test_unsupported_join_type(left, right):
         skew.skew_join(left, right, "k", "full")
 
 
-def test_spark_chooses_how_to_join_by_size(left, right, shuffle_only):
+def test_map_join_needs_a_known_size_and_then_shuffles_nothing(left, right, shuffle_only):
     def plan(df):
         df.count()
         return df._jdf.queryExecution().executedPlan().toString()
 
-    small, want = skew.map_join(left, right, "k"), left.join(right, "k").collect()
-    assert "BroadcastHashJoin" in plan(small)
+    # Rows from Python have no known size; a stored table has.
+    with pytest.raises(ValueError, match="estimated at"):
+        skew.map_join(left, right, "k")
+    want = left.join(right, "k").collect()
     shuffle_only()
-    large = skew.map_join(left, right, "k")
-    assert "SortMergeJoin" in plan(large) and sorted(map(repr, large.collect())) == sorted(map(repr, want))
+    joined = skew.map_join(left, shared_table(right, "right"), "k")
+    assert "BroadcastHashJoin" in plan(joined) and "SortMergeJoin" not in plan(joined)
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, want))
 
 
 @pytest.mark.parametrize("how", ["left_semi", "left_anti"])
