@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Settings this library relies on. Adaptive execution re-plans joins from measured shuffle sizes
@@ -17,7 +20,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    STATE_STORE: ROCKSDB,
     # Bloom filters into scans from this size on, rather than from 10 GB.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
@@ -36,6 +39,20 @@ def build_session(app_name: str = "clickloom", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started meanwhile keep their state in RocksDB, whatever the session is set to.
+
+    A stream copies the session's settings when it starts, and its checkpoint keeps the choice.
+    """
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in `spark.checkpoint.dir`.
 

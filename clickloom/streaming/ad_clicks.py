@@ -21,6 +21,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from clickloom import schemas
 from clickloom.operators import ads
+from clickloom.session import rocksdb_state
 from clickloom.sinks.dated import BATCH, AppendedTable, DatedTable, glob, make_folder, publish_batch
 from clickloom.streaming.state import totals_by_state
 
@@ -147,11 +148,13 @@ class AdClickJob:
         """`running_totals` by a state that a key leaves after `idle` event time or `ttl` clock time.
 
         By the clock there is always another micro-batch, so `ttl` needs a trigger that goes on.
+        Only RocksDB holds such a state, so the stream runs on it.
         """
         if ttl is not None and "processingTime" not in self.trigger:
             raise ValueError("ttl is by the clock: give a processingTime trigger")
         totals = totals_by_state(clicks, idle, ttl, self.lateness or "0 seconds")
-        return self._start(totals.writeStream.outputMode("update").foreachBatch(self.totals_batch), "totals_by_state")
+        with rocksdb_state(clicks.sparkSession):
+            return self._start(totals.writeStream.outputMode("update").foreachBatch(self.totals_batch), "totals_by_state")
 
     @property
     def sliding_log(self) -> str:

@@ -24,34 +24,38 @@ def _millis(period: timedelta) -> int:
     return int(period.total_seconds() * 1000)
 
 
-class RunningTotal(StatefulProcessor):
-    """The clicks of one key so far, given out whenever it has new ones."""
+def running_total(idle: timedelta | None = None, ttl: timedelta | None = None) -> StatefulProcessor:
+    """The clicks of one key so far, given out whenever it has new ones.
 
-    def __init__(self, idle: timedelta | None = None, ttl: timedelta | None = None):
-        self.idle = _millis(idle) if idle else None
-        self.ttl = _millis(ttl) if ttl else None
+    The class is made in here so that it is sent with its code: the process in which Spark first asks a
+    processor for its state variables, unlike the workers, is not given `--py-files`.
+    """
+    idle_millis, ttl_millis = (_millis(period) if period else None for period in (idle, ttl))
+
+    class RunningTotal(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.total = handle.getValueState("total", "click_count bigint, last_millis bigint", ttl_millis)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.total = handle.getValueState("total", "click_count bigint, last_millis bigint", self.ttl)
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            count, last = self.total.get() if self.total.exists() else (0, 0)
+            for row in rows:
+                count, last = count + row.click_count, max(last, int(row.click_time.timestamp() * 1000))
+            self.total.update((count, last))
+            if idle_millis is not None:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(last + idle_millis)
+            yield Row(**dict(zip(KEYS, key, strict=True)), click_count=count)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        count, last = self.total.get() if self.total.exists() else (0, 0)
-        for row in rows:
-            count, last = count + row.click_count, max(last, int(row.click_time.timestamp() * 1000))
-        self.total.update((count, last))
-        if self.idle is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(last + self.idle)
-        yield Row(**dict(zip(KEYS, key, strict=True)), click_count=count)
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            self.total.clear()
+            return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.total.clear()
-        return iter(())
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return RunningTotal()
 
 
 def combined(clicks: DataFrame) -> DataFrame:
@@ -80,4 +84,4 @@ def totals_by_state(
     counted, mode = combined(clicks), "None" if idle is None and ttl is None else "ProcessingTime"
     if idle is not None:
         counted, mode = counted.withWatermark("click_time", lateness), "EventTime"
-    return counted.groupBy(*KEYS).transformWithState(RunningTotal(idle, ttl), TOTALS, "Update", mode)
+    return counted.groupBy(*KEYS).transformWithState(running_total(idle, ttl), TOTALS, "Update", mode)

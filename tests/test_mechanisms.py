@@ -1,25 +1,30 @@
 """Plans and edge cases of bucketed actions, Bloom filters, map joins, sketches, observed counts, variants and table functions."""
 
 import random
+import subprocess
+import sys
 import time
 import uuid
 from collections import Counter
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
+import pyspark
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from clickloom.functions import text
 from clickloom.functions.sql import register_table_functions
 from clickloom.operators import ads, page_flow, sessions, skew
 from clickloom.plans.session_analysis import SessionAnalysis
-from clickloom.session import new_folder, shared_dir, shared_table
+from clickloom.session import STATE_STORE, new_folder, shared_dir, shared_table
 from clickloom.sources import testdata
 from clickloom.sources.ad_log import file_lines
 from clickloom.sources.bucketed import write_by_session
 from clickloom.sources.tasks import parse_task_params, parse_task_variants
 from clickloom.streaming.ad_clicks import AdClickJob
-from clickloom.streaming.state import totals_by_state
+from clickloom.streaming.state import running_total, totals_by_state
 
 SF = "/root/testdata/sf0.001"
 
@@ -204,6 +209,31 @@ def test_totals_by_state_over_batches_and_restarts(spark, feed):
             assert totals(j, spark) == want
 
 
+def test_totals_by_state_in_a_session_with_another_state_store(spark, feed):
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        own, j = spark.conf.get(STATE_STORE), job(spark)
+        for more in (line(0), line(1)):
+            feed(more)
+            j.totals_by_state(ads.parse_ad_log(feed.lines())).awaitTermination()
+            assert spark.conf.get(STATE_STORE) == own
+        assert totals(j, spark) == {("2024-03-01", "P", "C", 1): 2}
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def test_the_state_of_totals_can_be_read_where_the_library_is_not(tmp_path):
+    (tmp_path / "processor").write_bytes(cloudpickle.dumps(running_total(idle=timedelta(hours=1))))
+    # -I: neither PYTHONPATH nor the current folder; PySpark itself is there in any case.
+    code = f"""import sys; sys.path.append({str(Path(pyspark.__file__).parents[1])!r})
+import importlib.util, pickle
+assert importlib.util.find_spec("clickloom") is None
+print(type(pickle.load(open("processor", "rb"))).__name__)"""
+    run = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert run.stdout.strip() == "RunningTotal", run.stderr
+
+
 def test_idle_keys_leave_the_state(spark, feed):
     j = job(spark)
     # Ad 1 clicks, is quiet while ad 2 moves the time on by three hours, and clicks again.
