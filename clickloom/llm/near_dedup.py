@@ -312,9 +312,10 @@ def near_duplicates(docs: DataFrame, params: NearDedupParams = NearDedupParams()
     buckets = band_rows(classes, params)
     shared = buckets.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last")
     buckets = shared_table(buckets.join(shared.select("bucket", "leader"), "bucket"), "buckets")
-    wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "set_key", "doc")
+    wanted = classes.join(buckets.select("id"), "id", "left_semi").select("id", "set_key", "doc")
+    wanted = shared_table(wanted, "wanted-classes")
     # A doc_id may name several rows: only those sets count that a class is to be known by.
-    texts = docs.join(wanted.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = docs.join(wanted.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
     sets = shingle_sets(texts, params).join(wanted.select("id", "set_key"), "set_key")
     sets = shared_table(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "shingle-sets")
 
